@@ -1,0 +1 @@
+"""Reserved: the workload is batch only, so no streaming operator is offered."""
