@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import langid, toxicity
+from .byte_bpe import encode_documents
 from .exact_dup import exact_duplicates
 from .license_scan import license_scan
+from .packing import pack_documents
 from .sharding import feistel_shards
+from .token_counts import count_tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return langid.identify(docs, langid.learn(docs))
+
+
 def op6_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_documents(spark, sf_dir))
 
@@ -25,7 +48,11 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_duplicates, op7_license_scan, op8_feistel_shards)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_token_counts, op4_language, op6_exact_duplicates, op7_license_scan, op8_feistel_shards, op10_packing)}
 
 ORACLE_SQL = {
     "op6_exact_duplicates": r"""
