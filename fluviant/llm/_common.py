@@ -1,11 +1,10 @@
-"""Shared helpers of the text operators: scratch tables, bit maps, hold-out rule."""
+"""Shared helpers of the text operators: bit maps and the hold-out rule."""
 
 from __future__ import annotations
 
 import math
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Prefix of every helper column, so that columns of the caller never clash.
@@ -15,34 +14,6 @@ TMP = "__fluviant_"
 BITS_PER_ROW = 32768
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our
-    own where the session names none (tests on one machine)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        jsc = spark.sparkContext._jsc.sc()
-        given = jsc.getCheckpointDir()
-        named = given.get() if given.isDefined() else f"/tmp/fluviant-checkpoints-{uuid.uuid4().hex[:8]}"
-        if not given.isDefined():
-            spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table.
-
-    The written files cut the lineage: a lost executor costs a re-read, not a
-    recomputation, and two readers see the same rows. They go when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/fluviant/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: Column) -> Column:
     """True for rows no model may learn from: crc32(id as text) mod 4 is 2.
     A null id is never held out, and never learnt from either (see callers)."""

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import _sp_model
 
 #: Pre-tokens kept with their ids, in each Python worker; then the table starts anew.
@@ -129,6 +130,7 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Ca
                 yield pa.RecordBatch.from_arrays([ids.slice(at, len(part)), *columns.values()], names=["doc_id", *columns])
                 at += len(part)
 
+    ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, {schema}")
 

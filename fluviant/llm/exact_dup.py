@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import TMP, bitmap_of, bitmap_size, scratch, split_by_bitmap
+from ..session import scratch
+from ._common import TMP, bitmap_of, bitmap_size, split_by_bitmap
 
 #: White space that counts as one space when texts are compared.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"

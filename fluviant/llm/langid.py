@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ._common import held_out
 from .byte_bpe import chunks, map_texts
 
@@ -102,6 +103,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Rows with a null id, text or language and held-out rows are never read. Which
     rows are sampled depends on the id's hash alone. Counting runs on the
     executors; the driver gets a table of buckets x languages."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}

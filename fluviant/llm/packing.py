@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import scratch
+from ..session import scratch, ship_package
 from .byte_bpe import byte_alphabet, chunks
 
 #: Strings kept with their ids in each Python worker.
@@ -106,6 +106,7 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, pattern: str, eos: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """Rows ``doc_id, piece, start, length, ids_crc32``; every document has one at least."""
+    ship_package(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     end = eos.to_bytes(4, "little")

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import scratch
+from ..session import scratch
 
 
 def _feistel(x: Column, side: int, seed: int, rounds: int) -> Column:

@@ -1,8 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A term is a word or a word's beginning, hashed to 32 bits. Terms whose document
-frequency differs between the classes become features; the machine learns a
-weight for each and a vector whose inner products weigh each pair, so that two
+A term is a word or a word's beginning that occurs once, twice or four times at
+least, hashed to 32 bits. Terms whose document frequency differs between the
+classes become features; the machine learns a weight for each and a vector whose inner products weigh each pair, so that two
 terms together (an insult and the group it is aimed at) can count more than
 their weights add up to.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import held_out, scratch
+from ..session import scratch, ship_package
+from ._common import held_out
 from .byte_bpe import map_texts
 
 #: Labelled rows learnt from, of each class; features; length of the pair vectors.
 ROWS_PER_CLASS, FEATURES, FACTORS = 6_000, 768, 8
 
-#: Beginnings of words that are terms, by length.
-PREFIXES = (4, 5, 6)
+#: Beginnings of words that are terms, by length; occurrences that make further terms.
+PREFIXES, LEVELS = (4, 5, 6, 7), (1, 2, 4)
 
 #: Words kept with their features in each Python worker.
 CACHE_ENTRIES = 500_000
@@ -44,6 +46,11 @@ def terms(word: str) -> list[int]:
     return found
 
 
+def at_level(term: int, level: int) -> int:
+    """The hash of "this term occurs ``level`` times at least"."""
+    return term if level == 1 else zlib.crc32(level.to_bytes(2, "little"), term)
+
+
 class Model(NamedTuple):
     features: dict[int, int]
     bias: float
@@ -68,10 +75,16 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: dict[int, list[int]] = {}
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for t in {t for w in set(words((text or "").lower())) for t in terms(w)}:
-                held = seen.setdefault(t, [0, 0])
-                held[0] += toxic
-                held[1] += 1
+            times: Counter = Counter()
+            for w, n in Counter(words((text or "").lower())).items():
+                for t in terms(w):
+                    times[t] += n
+            for t, n in times.items():
+                for level in LEVELS:
+                    if n >= level:
+                        held = seen.setdefault(at_level(t, level), [0, 0])
+                        held[0] += toxic
+                        held[1] += 1
             if len(seen) > 300_000:
                 yield flush()
                 seen = {}
@@ -92,7 +105,7 @@ def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, ste
         z = b + x @ w + 0.5 * ((xv**2).sum(1) - x @ (v**2).sum(1))
         g = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         xg = x.T @ g
-        grads = [g.sum(keepdims=True), xg + decay * w / m, x.T @ (g[:, None] * xv) - xg[:, None] * v + decay * v]
+        grads = [g.sum(keepdims=True), xg + decay * w, x.T @ (g[:, None] * xv) - xg[:, None] * v + decay * v]
         for i, grad in enumerate(grads):
             mean[i] = 0.9 * mean[i] + 0.1 * grad
             var[i] = 0.99 * var[i] + 0.01 * grad**2
@@ -119,6 +132,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = scratch(rows.join(F.broadcast(ids[0].unionAll(ids[1])), "id").select("text", "toxic"), "toxic-sample")
     got = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
+    ship_package(docs.sparkSession)
     n_pos, n_neg = got.get(1, 0), got.get(0, 0)
     if not n_pos or not n_neg:
         return nothing
@@ -148,24 +162,36 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 class Finder:
-    """Features that occur in a text, by a table of words seen before."""
+    """Features that occur in a text, by a table of words seen before.
+
+    Only a word with a chosen term is looked at further; which of a term's levels
+    were chosen is found when it first occurs."""
 
     def __init__(self, features: dict[int, int]):
         self.features = features
         self.known: dict[str, tuple[int, ...]] = {}
+        self.levels: dict[int, tuple[tuple[int, int], ...]] = {}
+
+    def _chosen(self, term: int) -> bool:
+        if term in self.levels:
+            return True
+        hit = tuple((n, self.features[at_level(term, n)]) for n in LEVELS if at_level(term, n) in self.features)
+        if hit:
+            self.levels[term] = hit
+        return bool(hit)
 
     def __call__(self, text: str) -> list[int]:
-        known, features = self.known, self.features
+        known = self.known
         if len(known) > CACHE_ENTRIES:
             known.clear()
-        found: set[int] = set()
-        for w in set(words(text.lower())):
+        times: dict[int, int] = {}
+        for w, n in Counter(words(text.lower())).items():
             hit = known.get(w)
             if hit is None:
-                hit = known[w] = tuple(features[t] for t in terms(w) if t in features)
-            if hit:
-                found.update(hit)
-        return sorted(found)
+                hit = known[w] = tuple(t for t in terms(w) if self._chosen(t))
+            for t in hit:
+                times[t] = times.get(t, 0) + n
+        return sorted({f for t, n in times.items() for level, f in self.levels[t] if n >= level})
 
 
 _finders: dict[int, tuple[Model, Finder]] = {}
