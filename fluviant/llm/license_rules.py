@@ -12,9 +12,12 @@ from typing import NamedTuple
 
 
 class Rule(NamedTuple):
+    """A text is tried against ``pattern`` only if it holds ``needs`` and one of ``keywords``."""
+
     priority: int
     label: str
-    keyword: str
+    needs: str
+    keywords: tuple[str, ...]
     pattern: str
 
 
@@ -95,36 +98,33 @@ FAMILIES = [
     ("zpl-2.1", "zope", "zope public license(?: (?:version |v )?2 1)?", "zpl 2 1"),
 ]
 
-#: Fixed values: (priority, regex around a family's name {n}, identifier {i} or either {e}).
+#: Fixed values: (priority, what a text needs, regex around a family's name {n}, identifier {i} or either {e}).
 TEMPLATES = [
-    (0, "spdx license identifier {i}"),
-    (1, "(?:is |are )?(?:licensed|licenced) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
-    (2, "(?:released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
-    (3, "(?:see|read|under|per|accept|of) the {n} (?:license|licence)"),
-    (4, "{n}(?: (?:license|licence))"),
+    (0, "spdx", "spdx license identifier {i}"),
+    (1, " under ", "(?:licensed|licenced) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
+    (2, " under ", "(?:released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
+    (3, "licen", "(?:see|read|under|per|accept|of) the {n} (?:license|licence)"),
+    (4, "licen", "{n}(?: (?:license|licence))"),
 ]
 
-#: Templates that name a family by its identifier too are gated by a word of their own.
-KEYWORD_OF = {0: "spdx", 1: "under", 2: "under"}
-
 #: Passages of license bodies and notices.
 BODIES = [
-    Rule(1, "mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    Rule(1, "isc", "permission to use", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    Rule(1, "bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
-    Rule(1, "gpl", "free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    Rule(1, "lgpl", "free software", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
-    Rule(1, "agpl-3.0", "affero", "under the terms of the gnu affero general public license"),
-    Rule(1, "apache-2.0", "apache", "you may not use this file except in compliance with the license"),
-    Rule(1, "mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license"),
-    Rule(1, "unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
-    Rule(1, "zlib", "warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
-    Rule(1, "bsl-1.0", "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
-    Rule(2, "public-domain", "public domain", "(?:placed|released|dedicated) (?:in|into|to) the public domain"),
-    Rule(2, "all-rights-reserved", "reserved", "all rights reserved"),
-    Rule(2, "proprietary", "proprietary", "(?:confidential and proprietary|proprietary and confidential)"),
-    Rule(3, "copyleft", "copyleft", "copyleft (?:license|licence)"),
-    Rule(4, "warranty-disclaimer", "warrant", "(?:without (?:any )?warranty of any kind|warranties or conditions of any kind)"),
+    Rule(1, "mit", "hereby granted", ("hereby granted",), "permission is hereby granted free of charge to any person obtaining a copy"),
+    Rule(1, "isc", "permission to use", ("permission to use",), "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    Rule(1, "bsd", "redistribution", ("redistribution",), "redistribution and use in source and binary forms with or without modification are permitted"),
+    Rule(1, "gpl", "free software", ("free software",), "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    Rule(1, "lgpl", "free software", ("free software",), "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    Rule(1, "agpl-3.0", "affero", ("affero",), "under the terms of the gnu affero general public license"),
+    Rule(1, "apache-2.0", "apache", ("apache",), "you may not use this file except in compliance with the license"),
+    Rule(1, "mpl-2.0", "mozilla", ("mozilla",), "this source code form is subject to the terms of the mozilla public license"),
+    Rule(1, "unlicense", "public domain", ("public domain",), "this is free and unencumbered software released into the public domain"),
+    Rule(1, "zlib", "warranty", ("warranty",), "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    Rule(1, "bsl-1.0", "hereby granted", ("hereby granted",), "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    Rule(2, "public-domain", "public domain", ("public domain",), "(?:placed|released|dedicated) (?:in|into|to) the public domain"),
+    Rule(2, "all-rights-reserved", "reserved", ("reserved",), "all rights reserved"),
+    Rule(2, "proprietary", "proprietary", ("proprietary",), "(?:confidential and proprietary|proprietary and confidential)"),
+    Rule(3, "copyleft", "copyleft", ("copyleft",), "copyleft (?:license|licence)"),
+    Rule(4, "warranty-disclaimer", "warrant", ("warrant",), "(?:without (?:any )?warranty of any kind|warranties or conditions of any kind)"),
 ]
 
 #: A text without any of these words cannot match a rule or a base phrase.
@@ -134,11 +134,16 @@ GATE = ("licen", "spdx", "permission", "redistribut", "free software", "public d
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
 
+def _plain(spdx: str) -> str:
+    """The words of an identifier that every match of it holds."""
+    return spdx.split("(")[0].strip()
+
+
 def rules() -> list[Rule]:
     """All rules in order of priority: families by template, then bodies."""
     built = [
-        Rule(priority, label.removesuffix("-short"), KEYWORD_OF.get(priority, keyword), template.format(n=name, i=spdx, e=f"(?:{name}|{spdx})"))
-        for priority, template in TEMPLATES
+        Rule(priority, label.removesuffix("-short"), needs, (f" {keyword}", f" {_plain(spdx)} "), template.format(n=name, i=spdx, e=f"(?:{name}|{spdx})"))
+        for priority, needs, template in TEMPLATES
         for label, keyword, name, spdx in FAMILIES
     ]
     return sorted(built + BODIES, key=lambda r: r.priority)

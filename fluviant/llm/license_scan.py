@@ -47,7 +47,7 @@ def _labelled(label: str):
 
 
 def _rule_array(rule_set: list[Rule]) -> Column:
-    return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(numbered_pattern(r.pattern)).alias("pattern")) for r in rule_set])
+    return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.needs).alias("needs"), F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(numbered_pattern(r.pattern)).alias("pattern")) for r in rule_set])
 
 
 def _survivors(detections: Column) -> Column:
@@ -77,9 +77,12 @@ def _scan(words: Column, rule_set: list[Rule]) -> Column:
     """Struct of everything found in one text of numbered words; used on gated texts only."""
     numbered = F.array_join(F.transform(F.split(words, " "), lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " ")
 
+    padded = F.concat(F.lit(" "), words, F.lit(" "))
+
     def of(numbered: Column) -> Column:
+        # The base phrases are always looked for.
         base = [F.transform(_intervals(numbered, F.lit(numbered_pattern(phrase))), _labelled(label)) for phrase, label in BASE]
-        hits = F.filter(_rule_array(rule_set), lambda r: F.contains(words, r["keyword"]))
+        hits = F.filter(_rule_array(rule_set), lambda r: F.contains(padded, r["needs"]) & F.exists(r["keywords"], lambda k: F.contains(padded, k)))
         found = F.flatten(F.transform(hits, lambda r: F.transform(_intervals(numbered, r["pattern"]), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label")))))
         return F.struct(F.concat(*base).alias("base"), _survivors(found).alias("method"))
 
