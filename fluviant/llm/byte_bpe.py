@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,6 +136,18 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Ca
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, {schema}")
 
 
+def text_udf(kind: str, work: Callable[[], Callable[[list[str]], list]], most: int = CHUNK_CHARS):
+    """A vectorised function of a text column; null reaches ``work()`` as empty."""
+
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        do = work()
+        for batch in batches:
+            yield pd.Series([x for part in chunks(batch.tolist(), most) for x in do(part)], dtype=object)
+
+    return run
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256``
     and, if ``with_ids``, ``ids`` (array of int).

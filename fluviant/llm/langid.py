@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ._common import held_out
-from .byte_bpe import chunks, map_texts
+from .byte_bpe import chunks, map_texts, text_udf
 
 #: First code points of script ranges and the scripts' names.
 SCRIPTS = [
@@ -260,3 +260,17 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = "lang_pred string, score double" + ", spans array<struct<first:int,words:int,lang:string>>" * with_spans
     found = map_texts(docs, id_col, text_col, schema, work, CHUNK_CHARS)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *found.columns[1:])
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a language that holds ``least`` of their letters or
+    more, all columns unchanged. Rows that are ``und`` go: null texts, and texts
+    without a letter."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work():
+        labeller = _labeller(shared.value)
+        return lambda texts: [lang != "und" and share >= least for lang, share, _ in labeller.label(texts)]
+
+    return docs.where(text_udf("boolean", work, CHUNK_CHARS)(F.col(f"`{text_col}`")))

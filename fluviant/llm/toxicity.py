@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch, ship_package
 from ._common import held_out
-from .byte_bpe import map_texts
+from .byte_bpe import map_texts, text_udf
 
 #: Labelled rows learnt from, of each class; features; length of the pair vectors.
 ROWS_PER_CLASS, FEATURES, FACTORS = 6_000, 768, 8
@@ -222,3 +222,16 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3, id_co
 
     found = map_texts(docs, id_col, text_col, "score double", work)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns unchanged.
+    A null text scores as the empty text."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work():
+        find = _finder(shared.value)
+        return lambda texts: [shared.value.score(find(t)) < threshold for t in texts]
+
+    return docs.where(text_udf("boolean", work)(F.col(f"`{text_col}`")))
