@@ -28,6 +28,9 @@ from .byte_bpe import map_texts, text_udf
 #: Labelled rows learnt from, of each class; features; length of the pair vectors.
 ROWS_PER_CLASS, FEATURES, FACTORS = 6_000, 768, 8
 
+#: Standard errors by which a term's log frequency ratio must differ from zero.
+LEAST_Z = 2.5
+
 #: Beginnings of words that are terms, by length; occurrences that make further terms.
 PREFIXES, LEVELS = (4, 5, 6, 7), (1, 2, 4)
 
@@ -92,7 +95,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray]:
+def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, pair_decay: float = 1e-2) -> tuple[float, np.ndarray, np.ndarray]:
     """Weights of the machine by Adam on the weighted log loss, over all rows at once."""
     rng = np.random.default_rng(7)
     n, m = x.shape
@@ -105,7 +108,7 @@ def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, ste
         z = b + x @ w + 0.5 * ((xv**2).sum(1) - x @ (v**2).sum(1))
         g = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         xg = x.T @ g
-        grads = [g.sum(keepdims=True), xg + decay * w, x.T @ (g[:, None] * xv) - xg[:, None] * v + decay * v]
+        grads = [g.sum(keepdims=True), xg + decay * w, x.T @ (g[:, None] * xv) - xg[:, None] * v + pair_decay * v]
         for i, grad in enumerate(grads):
             mean[i] = 0.9 * mean[i] + 0.1 * grad
             var[i] = 0.99 * var[i] + 0.01 * grad**2
@@ -113,7 +116,7 @@ def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, ste
     return float(params[0][0]), params[1], params[2]
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS, n_features: int = FEATURES, factors: int = FACTORS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS, n_features: int = FEATURES, factors: int = FACTORS, least_z: float = LEAST_Z) -> Model:
     """Fit on at most ``rows_per_class`` labelled rows of each class.
 
     Held-out rows and rows with a null id or label are never read. The sampled
@@ -140,7 +143,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     p, q = (F.col("pos") + 0.5) / (n_pos + 1), (F.col("n") - F.col("pos") + 0.5) / (n_neg + 1)
     spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("n") - F.col("pos") + 0.5))
     z = F.abs(F.log(p / q)) / spread
-    chosen = counts.where("n >= 3").select("term", z.alias("z")).where("z > 3.5").orderBy(F.desc("z"), "term").limit(n_features)
+    chosen = counts.where("n >= 3").select("term", z.alias("z")).where(F.col("z") > least_z).orderBy(F.desc("z"), "term").limit(n_features)
     features = {int(r[0]): i for i, r in enumerate(chosen.collect())}
     if not features:
         return nothing
