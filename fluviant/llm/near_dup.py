@@ -174,7 +174,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: i
     """
     ship_package(docs.sparkSession)
     sketches = scratch(_sketches(docs, id_col, text_col, width, bands, rows), "sketches")
-    classes = sketches.where("n > 0").groupBy(F.col("d1").alias("c1"), F.col("d2").alias("c2")).agg(F.min("id").alias("v"))
+    # Written first: a join of two plain exchanges can split the rows of a hot class.
+    classes = scratch(sketches.where("n > 0").groupBy(F.col("d1").alias("c1"), F.col("d2").alias("c2")).agg(F.min("id").alias("v")), "class-ids")
     placed = sketches.join(classes, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
     first = F.col("id") == F.col("v")
     placed = scratch(placed.select("id", "n", "v", "d1", F.when(first, F.col("bands")).alias("bands")), "classes")
