@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch
+from ..operators.numbering import numbered
 
 
 def _feistel(x: Column, side: int, seed: int, rounds: int) -> Column:
@@ -44,27 +44,6 @@ def permuted(x: Column, n: int, seed: int = 0, rounds: int = 4) -> Column:
     return F.when(once < n, once).otherwise(walk)
 
 
-def numbered(light: DataFrame, order: list[str], name: str = "numbered") -> tuple[DataFrame, int]:
-    """``light`` with ``row_number`` 0..N-1 in the given order, and N.
-
-    Range partitions are sorted on their own and numbered from the counts of the
-    partitions before; no step sees all rows in one task. Rows equal in every
-    ordering column are interchangeable."""
-    pos = F.monotonically_increasing_id()
-    ranged = light.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged = scratch(ranged.withColumn("pos", pos), name)
-    part = F.shiftright("pos", 33)
-    counts = {r[0]: r[1] for r in ranged.groupBy(part.alias("p")).count().collect()}  # one row a partition
-    before, total = {}, 0
-    for p in sorted(counts):
-        before[p], total = total, total + counts[p]
-    spark = light.sparkSession
-    offsets = spark.createDataFrame(list(before.items()), "part long, before long")
-    at = F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
-    joined = ranged.join(F.broadcast(offsets), part == F.col("part"))
-    return joined.withColumn("row_number", F.col("before") + at).drop("pos", "part", "before"), total
-
-
 def feistel_shards(docs: DataFrame, shards: int = 24, seed: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``:
     ``doc_id, size, text_crc32, law, shard, slot, grown_shard, row_number``.
