@@ -24,13 +24,22 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
+#: Tasks a core that write a settled table.
+TASKS_PER_CORE = 4
+
+
+def scratch(df: DataFrame, name: str, settle: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     The written files cut the lineage: a lost executor costs a re-read, not a
     recomputation, and two readers see the same rows. They go when the driver ends.
+    ``settle`` is for light results of a shuffle: a task then works through several
+    shuffle partitions, one after the other, and writes one file for all of them.
+    Tables read off a scan keep a task for each split.
     """
     spark = df.sparkSession
+    if settle:
+        df = df.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     path = f"{shared_folder(spark)}/fluviant/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
