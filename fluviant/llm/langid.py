@@ -44,7 +44,14 @@ PENALTY, NOT_ITS_SCRIPT = 12.0, -40.0
 #: Words kept with their scores in each Python worker; characters worked on at once.
 CACHE_ENTRIES, CHUNK_CHARS = 300_000, 3_000_000
 
-letters = re.compile(r"[^\W\d_]+").findall
+_runs = re.compile(r"[^\W\d_]+").findall
+
+
+def letters(text: str) -> list[str]:
+    """Runs of letters. Python's word class also holds numerals such as superscripts;
+    runs of nothing else are left out."""
+    found = _runs(text)
+    return found if text.isascii() else [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 class Model(NamedTuple):

@@ -115,7 +115,7 @@ BODIES = [
     Rule(1, "gpl", "free software", ("free software",), "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
     Rule(1, "lgpl", "free software", ("free software",), "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
     Rule(1, "agpl-3.0", "affero", ("affero",), "under the terms of the gnu affero general public license"),
-    Rule(1, "apache-2.0", "apache", ("apache",), "you may not use this file except in compliance with the license"),
+    Rule(1, "apache-2.0", "compliance", ("compliance",), "you may not use this file except in compliance with the license"),
     Rule(1, "mpl-2.0", "mozilla", ("mozilla",), "this source code form is subject to the terms of the mozilla public license"),
     Rule(1, "unlicense", "public domain", ("public domain",), "this is free and unencumbered software released into the public domain"),
     Rule(1, "zlib", "warranty", ("warranty",), "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
