@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ..schema import GEOMETRY
+from ..schema import ARROW_GEOMETRY, GEOMETRY
 
 
 def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:
@@ -34,13 +34,13 @@ def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:
 def simplify_line(tolerance: float):
     """A function of a geometry column that simplifies each part."""
 
-    @F.pandas_udf(GEOMETRY)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lines in batches:
             out = []
-            for line in lines:
-                parts = [np.array([(p["x"], p["y"]) for p in part], float).reshape(-1, 2) for part in line] if line is not None else []
-                out.append([[{"x": float(x), "y": float(y)} for x, y in (douglas_peucker(p, tolerance) if len(p) > 2 else p)] for p in parts])
-            yield pd.Series(out)
+            for line in lines.to_pylist():
+                parts = [np.array([(p["x"], p["y"]) for p in part], float).reshape(-1, 2) for part in line or ()]
+                parts = [douglas_peucker(p, tolerance) if len(p) > 2 else p for p in parts]
+                out.append(None if line is None else [[{"x": x, "y": y} for x, y in p.tolist()] for p in parts])
+            yield pa.array(out, ARROW_GEOMETRY)
 
-    return run
+    return F.arrow_udf(run, GEOMETRY)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geodesy import equal_area_x, equal_area_y
 from ..functions.lines import bounds, map_points, polygon_area
-from ..schema import GEOMETRY
+from ..schema import ARROW_GEOMETRY, GEOMETRY
 from ..session import ship_package
 from .graph import resolve_chains
 
@@ -107,18 +107,18 @@ def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> n
     return ring
 
 
-def _clip_polygons(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+def _clip_polygons(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
     for polygons, *limits in batches:
         out = []
-        for rings, *limit in zip(polygons, *limits, strict=True):
-            cut = [clip_ring(np.array([(p["x"], p["y"]) for p in ring], float), *limit) for ring in rings]
-            out.append([[{"x": float(x), "y": float(y)} for x, y in ring] for ring in cut if len(ring)])
-        yield pd.Series(out)
+        for rings, *limit in zip(polygons.to_pylist(), *(v.to_pylist() for v in limits), strict=True):
+            cut = [clip_ring(np.array([(p["x"], p["y"]) for p in ring], float), *limit) for ring in rings or ()]
+            out.append([[{"x": x, "y": y} for x, y in ring.tolist()] for ring in cut if len(ring)])
+        yield pa.array(out, ARROW_GEOMETRY)
 
 
 def clip_polygon(polygon: Column | str, x0: Column | str, y0: Column | str, x1: Column | str, y1: Column | str) -> Column:
     """Polygon (rings) cut by a rectangle; only basins that leave their cell get here."""
-    return F.pandas_udf(_clip_polygons, GEOMETRY)(polygon, x0, y0, x1, y1)
+    return F.arrow_udf(_clip_polygons, GEOMETRY)(polygon, x0, y0, x1, y1)
 
 
 def equal_area(polygon: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 #: No downstream segment.
 OUTLET = -1
 
@@ -25,3 +27,4 @@ MASTER_COLUMNS = [
 
 #: Lines are arrays of parts, a part an array of points; polygons are arrays of rings.
 GEOMETRY = "array<array<struct<x:double,y:double>>>"
+ARROW_GEOMETRY = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))

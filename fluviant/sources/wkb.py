@@ -6,11 +6,11 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import GEOMETRY
+from ..schema import ARROW_GEOMETRY, GEOMETRY
 
 #: Codes of geometry kinds.
 LINE, POLYGON, MULTI_LINE, MULTI_POLYGON = 2, 3, 5, 6
@@ -76,19 +76,19 @@ def geopackage_blob(blob: bytes) -> bytes:
     return blob[8 + (0, 32, 48, 48, 64)[blob[3] >> 1 & 7] :]
 
 
-def _decode_all(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _decode_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for values in batches:
-        found = (None if v is None else decode(bytes(v)) for v in values)
-        yield pd.Series([None if p is None else [[{"x": x, "y": y} for x, y in part] for part in p] for p in found], dtype=object)
+        found = [None if v is None else decode(v) for v in values.to_pylist()]
+        yield pa.array([None if p is None else [[{"x": x, "y": y} for x, y in part] for part in p] for p in found], ARROW_GEOMETRY)
 
 
 def from_wkb(column: Column | str) -> Column:
-    return F.pandas_udf(_decode_all, GEOMETRY)(column)
+    return F.arrow_udf(_decode_all, GEOMETRY)(column)
 
 
 def to_wkb(column: Column | str, polygon: bool = False) -> Column:
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
-            yield pd.Series([None if v is None else encode([[(p["x"], p["y"]) for p in part] for part in v], polygon) for v in values], dtype=object)
+            yield pa.array([None if v is None else encode([[(p["x"], p["y"]) for p in part] for part in v], polygon) for v in values.to_pylist()], pa.binary())
 
-    return F.pandas_udf(run, "binary")(column)
+    return F.arrow_udf(run, "binary")(column)
