@@ -15,6 +15,11 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def edges_of(line: Column) -> Column:
     """All edges of all parts as ``{ax, ay, bx, by}``."""
 
@@ -73,7 +78,35 @@ def ring_area(ring: Column) -> Column:
 def polygon_area(polygon: Column) -> Column:
     """Area of the first ring less the areas of the others (holes)."""
     areas = F.transform(polygon, lambda ring: F.abs(ring_area(ring)))
-    return 2 * F.element_at(areas, 1) - F.aggregate(areas, F.lit(0.0), lambda s, a: s + a)
+    return let(areas, lambda a: 2 * F.get(a, F.lit(0)) - F.aggregate(a, F.lit(0.0), lambda s, v: s + v))
+
+
+def _half(ring: Column, own: str, other: str, limit: Column, above: bool) -> Column:
+    """A closed ring cut by one line: what lies on its upper or lower side."""
+
+    def pieces(e: Column) -> Column:
+        a, b = e[f"a{own}"], e[f"b{own}"]
+        in_a, in_b = (a >= limit, b >= limit) if above else (a <= limit, b <= limit)
+        across = e[f"a{other}"] + (limit - a) / (b - a) * (e[f"b{other}"] - e[f"a{other}"])
+        cut = point(limit, across) if own == "x" else point(across, limit)
+        none = F.array().cast("array<struct<x:double,y:double>>")
+        return F.concat(F.when(in_a, F.array(point(e["ax"], e["ay"]))).otherwise(none), F.when(in_a != in_b, F.array(cut)).otherwise(none))
+
+    return let(F.flatten(F.transform(edges_of(F.array(ring)), pieces)), lambda p: F.concat(p, F.slice(p, 1, 1)))
+
+
+def clip_ring(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """A closed ring cut by a rectangle, one half-plane after the other; empty if outside.
+
+    Where a concave ring falls apart the pieces stay joined along the border of the
+    rectangle, by bridges without area."""
+    ring = _half(_half(ring, "x", "y", x0, True), "x", "y", x1, False)
+    return _half(_half(ring, "y", "x", y0, True), "y", "x", y1, False)
+
+
+def clip_polygon(polygon: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """The rings of a polygon cut by a rectangle; rings outside are left out."""
+    return F.filter(F.transform(polygon, lambda ring: clip_ring(ring, x0, y0, x1, y1)), lambda ring: F.size(ring) > 0)
 
 
 def polygon_centroid(polygon: Column) -> Column:

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geodesy import equal_area_x, equal_area_y
-from ..functions.lines import bounds, map_points, polygon_area
-from ..schema import ARROW_GEOMETRY, GEOMETRY
-from ..session import ship_package
+from ..functions.lines import bounds, clip_polygon, map_points, polygon_area
+from ..session import scratch
 from .graph import resolve_chains
 
 
@@ -82,45 +77,6 @@ def total_bounds(basins: DataFrame) -> tuple[float, float, float, float]:
     return tuple(b.agg(F.min("b.x0"), F.min("b.y0"), F.max("b.x1"), F.max("b.y1")).first())
 
 
-def clip_ring(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
-    """A closed ring cut by a rectangle, one half-plane after the other.
-
-    Where a concave ring falls apart the pieces stay joined along the border of the
-    rectangle, by bridges without area."""
-    for axis, limit, sign in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
-        if len(ring) < 3:
-            return ring[:0]
-        inside = sign * (ring[:, axis] - limit) >= 0
-        out = []
-        for k in range(len(ring) - 1):
-            a, b = ring[k], ring[k + 1]
-            if inside[k]:
-                out.append(a)
-            if inside[k] != inside[k + 1]:
-                t = (limit - a[axis]) / (b[axis] - a[axis])
-                cut = a + t * (b - a)
-                cut[axis] = limit
-                out.append(cut)
-        if out:
-            out.append(out[0])
-        ring = np.array(out).reshape(-1, 2)
-    return ring
-
-
-def _clip_polygons(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-    for polygons, *limits in batches:
-        out = []
-        for rings, *limit in zip(polygons.to_pylist(), *(v.to_pylist() for v in limits), strict=True):
-            cut = [clip_ring(np.array([(p["x"], p["y"]) for p in ring], float), *limit) for ring in rings or ()]
-            out.append([[{"x": x, "y": y} for x, y in ring.tolist()] for ring in cut if len(ring)])
-        yield pa.array(out, ARROW_GEOMETRY)
-
-
-def clip_polygon(polygon: Column | str, x0: Column | str, y0: Column | str, x1: Column | str, y1: Column | str) -> Column:
-    """Polygon (rings) cut by a rectangle; only basins that leave their cell get here."""
-    return F.arrow_udf(_clip_polygons, GEOMETRY)(polygon, x0, y0, x1, y1)
-
-
 def equal_area(polygon: Column) -> Column:
     """Square metres of a polygon in degrees, on the equal-area cylinder."""
     return polygon_area(map_points(polygon, lambda p: equal_area_x(p["x"]), lambda p: equal_area_y(p["y"])))
@@ -134,7 +90,6 @@ def basin_weights(basins: DataFrame, axis: DataFrame, id_col: str = "LINKNO", wi
     others are cut by the cell's rectangle. Cells that are only touched are left out
     and a null id becomes 0, as the weight files have it. ``with_npoints`` adds the
     number of rows of each id."""
-    ship_package(basins.sparkSession)
     margin = grid_margin(axis) if margin is None else margin
     shapes = basins.select(F.col(id_col).alias("id"), "geometry", bounds(F.col("geometry")).alias("b"))
 
@@ -153,11 +108,9 @@ def basin_weights(basins: DataFrame, axis: DataFrame, id_col: str = "LINKNO", wi
     rows = meet(shapes, "lon", "b.x0", "b.x1", ("lon_index", "lon", "x0", "x1"))
     rows = meet(rows, "lat", "b.y0", "b.y1", ("lat_index", "lat", "y0", "y1"))
     within = (F.col("b.x0") >= F.col("x0")) & (F.col("b.x1") <= F.col("x1")) & (F.col("b.y0") >= F.col("y0")) & (F.col("b.y1") <= F.col("y1"))
-    columns = ["id", "lon_index", "lat_index", "lon", "lat"]
-    whole = rows.where(within).select(*columns, equal_area(F.col("geometry")).alias("area_sqm"))
-    cut = rows.where(~within).select(*columns, clip_polygon("geometry", "x0", "y0", "x1", "y1").alias("part"))
-    cut = cut.where(F.size("part") > 0).select(*columns, equal_area(F.col("part")).alias("area_sqm")).where("area_sqm > 0")
-    found = whole.unionByName(cut).withColumn("id", F.coalesce("id", F.lit(0).cast("long")))
+    part = F.when(within, F.col("geometry")).otherwise(clip_polygon(F.col("geometry"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
+    found = rows.select(F.coalesce("id", F.lit(0).cast("long")).alias("id"), "lon_index", "lat_index", "lon", "lat", F.coalesce(equal_area(part), F.lit(0.0)).alias("area_sqm"))
+    found = found.where("area_sqm > 0")
     found = found.select(F.col("id").alias(id_col), "area_sqm", "lon_index", "lat_index", "lon", "lat")
     if with_npoints:
         counts = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("npoints"))
@@ -185,7 +138,7 @@ def simplify_weights(weights: DataFrame, dissolve_passes: list[DataFrame], prune
     for labels in dissolve_passes:
         rows = relabel(rows, labels.select("keep", "drop"))
     rows = relabel(rows, prune.select("LINKNO", "LINKTODROP"))
-    rows = total(rows.join(drop.select(F.col("drop").alias(id_col)), id_col, "left_anti"))
+    rows = scratch(total(rows.join(drop.select(F.col("drop").alias(id_col)), id_col, "left_anti")), "replayed")
     present = rows.select(id_col).distinct()
     valid = merge.join(present.withColumnRenamed(id_col, "LINKNO"), "LINKNO", "left_semi").join(present.withColumnRenamed(id_col, "MergeWith"), "MergeWith", "left_semi")
     ends = resolve_chains(valid.select(F.col("MergeWith").alias("id"), F.col("LINKNO").alias("target")))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import box, point
+from ..session import spread
 from ..sources.header_numbers import header_numbers
 
 #: Slot, parent slot, Strahler order, magnitude, zero length.
@@ -35,7 +36,7 @@ def _y(block: Column, slot: Column) -> Column:
 
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks, slots and template values of all whole blocks of ``orders``."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice"))
     blocks = orders.count() // len(TEMPLATE)
     shape = spark.createDataFrame(TEMPLATE, "slot long, parent long, strmOrder int, magn long, zero int")
     rows = orders.withColumn("b", F.floor(F.col("o_orderkey") / 40)).where(F.col("b") < blocks).withColumn("slot", F.col("o_orderkey") % 40)

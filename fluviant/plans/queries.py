@@ -177,7 +177,7 @@ def weights_full_npoints(spark: SparkSession, d: str) -> DataFrame:
 
 def weights_simplified(spark: SparkSession, d: str) -> DataFrame:
     made = region_master(fixtures.streams(spark, d), fixtures.lakes(spark, d))
-    full = _weights(spark, d)
+    full = scratch(_weights(spark, d), "weights")
     kept = clean.repair_basins(full, made.zero_length, made.small_trees)
     return _area(weights.simplify_weights(kept, made.dissolved, made.pruned, made.small_trees, made.merged))
 

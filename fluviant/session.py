@@ -24,6 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: The setting that bounds a batch of rows on its way to Python.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Tasks a core that write a settled table.
 TASKS_PER_CORE = 4
 
@@ -47,10 +50,22 @@ def scratch(df: DataFrame, name: str, settle: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its scan has fewer splits than there are cores.
+
+    For small inputs in one file; a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a context.
 
-    Executors need not have it installed, nor share the driver's folders."""
+    Executors need not have it installed, nor share the driver's folders. Arrow
+    batches, 64 MB by default in each task outside the heap, are made small, unless
+    the session has set their size."""
+    if spark.conf.get(BATCH_BYTES, "67108864b") in ("67108864b", "67108864"):
+        spark.conf.set(BATCH_BYTES, "4m")
     context = spark.sparkContext
     if getattr(context, "_fluviant_shipped", False):
         return

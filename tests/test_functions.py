@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from fluviant.functions import geodesy, lines, routing
 from fluviant.functions.simplify import douglas_peucker
-from fluviant.operators import weights
 from fluviant.schema import GEOMETRY
 from fluviant.sources import header_numbers
 
@@ -83,18 +82,17 @@ def test_k_helpers(spark):
     assert found == {1: (50.0, 70.0), 2: (7.0, 7.0)}
 
 
-def test_clip_ring():
-    square = np.array([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], float)
+def test_clipping(spark):
+    def area(ring, *limits):
+        return one(spark, lines.polygon_area(lines.clip_polygon(line(ring), *(F.lit(float(v)) for v in limits))))
 
-    def area(ring):
-        x, y = ring.T
-        return abs((x[:-1] * y[1:] - x[1:] * y[:-1]).sum()) / 2
-
-    assert area(weights.clip_ring(square, 1, 1, 2, 3)) == 2
-    assert area(weights.clip_ring(square, -1, -1, 9, 9)) == 16
-    assert len(weights.clip_ring(square, 5, 5, 6, 6)) == 0
-    concave = np.array([(0, 0), (6, 0), (6, 4), (4, 4), (4, 1), (2, 1), (2, 4), (0, 4), (0, 0)], float)
-    assert area(weights.clip_ring(concave, 0, 2, 6, 4)) == 8
+    square = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]
+    assert area(square, 1, 1, 2, 3) == 2 and area(square, -1, -1, 9, 9) == 16 and area(square, 5, 5, 6, 6) is None
+    concave = [(0, 0), (6, 0), (6, 4), (4, 4), (4, 1), (2, 1), (2, 4), (0, 4), (0, 0)]
+    assert area(concave, 0, 2, 6, 4) == 8
+    hole = [(1, 1), (3, 1), (3, 3), (1, 3), (1, 1)]
+    cut = lines.clip_polygon(line(square, hole), *(F.lit(v) for v in (0.0, 0.0, 2.0, 4.0)))
+    assert one(spark, lines.polygon_area(cut)) == 6
 
 
 def test_douglas_peucker():
