@@ -66,4 +66,4 @@ def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFr
         if before == (n, total):  # all stars: each vertex points to its root
             return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
         before = (n, total)
-        edges = scratch(_contract(edges), "stars")
+        edges = scratch(_contract(edges), "stars", settle=True)

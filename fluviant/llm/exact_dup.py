@@ -40,7 +40,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str):
     text = normalised(F.col(text_col))
     keyed = docs.select(F.col(id_col).alias("id"), text.alias("norm"))
     light = scratch(keyed.select("id", _hash128(F.col("norm")).alias("h"), _digest(F.col("norm")).alias("sha")), "exact-light")
-    repeated = scratch(light.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "exact-repeated")
+    repeated = scratch(light.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "exact-repeated", settle=True)
     bits = bitmap_size(repeated.count())
     bitmap = bitmap_of(repeated, F.xxhash64("h"), bits)
     maybe, _ = split_by_bitmap(keyed.select("id", "norm", _hash128(F.col("norm")).alias("h")), F.xxhash64("h"), bitmap, bits)
@@ -54,7 +54,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str):
         .select(F.col("h").alias("gh"), F.col("sha").alias("gsha"), "keep_id", "n")
     )
     # Written first: a join of two plain exchanges can split the rows of a hot group.
-    return light, scratch(groups, "exact-groups"), bitmap, bits
+    return light, scratch(groups, "exact-groups", settle=True), bitmap, bits
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

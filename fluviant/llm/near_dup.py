@@ -104,7 +104,7 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width:
     (``v, root``) they give, and the further links between those components."""
     posted = reps.select("v", "d", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    postings = scratch(posted.join(shared, "bucket"), "postings")
+    postings = scratch(posted.join(shared, "bucket"), "postings", settle=True)
     # The leader of a bucket: the class with most neighbours over all its buckets.
     central = postings.groupBy("v").agg(F.sum(F.col("members") - 1).alias("neighbours"))
     leaders = (
@@ -113,22 +113,22 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width:
         .agg(F.max(F.struct("neighbours", (-F.col("v")).alias("minus_v"), "d", "n")).alias("l"), F.min("n").alias("least_n"))
         .select("bucket", (-F.col("l.minus_v")).alias("y"), F.col("l.d").alias("dy"), F.col("l.n").alias("ny"), "least_n")
     )
-    led = scratch(postings.select("bucket", "band", F.col("v").alias("x"), F.col("d").alias("dx"), F.col("n").alias("nx")).join(leaders, "bucket"), "led")
+    led = scratch(postings.select("bucket", "band", F.col("v").alias("x"), F.col("d").alias("dx"), F.col("n").alias("nx")).join(leaders, "bucket"), "led", settle=True)
     # Full sets of the candidates only; a bit map of fixed size picks them in the scan.
-    wanted = scratch(postings.select("v").distinct(), "candidates")
+    wanted = scratch(postings.select("v").distinct(), "candidates", settle=True)
     bits = bitmap_size(wanted.count())
     maybe, _ = split_by_bitmap(docs.select(F.col(f"`{id_col}`").alias(TMP + "id"), F.col(f"`{text_col}`").alias(TMP + "text")), F.xxhash64(F.col(TMP + "id").cast("long")), bitmap_of(wanted, F.xxhash64("v"), bits), bits)
     sets = scratch(_sets(maybe, TMP + "id", TMP + "text", width), "sets")
     star = led.where("x <> y").select("x", "dx", "nx", "y", "dy", "ny").distinct()
-    star = scratch(_compare(star, sets), "star")
+    star = scratch(_compare(star, sets), "star", settle=True)
     good = star.where(_reaches(F.col("common"), F.col("nx") + F.col("ny"), percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    good = scratch(good, "links")
-    labels = scratch(components(good), "labels")
+    good = scratch(good, "links", settle=True)
+    labels = scratch(components(good), "labels", settle=True)
     # Buckets that still hold two components, and what bounds a pair of their members.
     component = F.coalesce("root", "x").alias("cx")
-    placed = scratch(led.join(labels.withColumnRenamed("v", "x"), "x", "left").select(led.columns + [component]), "placed")
+    placed = scratch(led.join(labels.withColumnRenamed("v", "x"), "x", "left").select(led.columns + [component]), "placed", settle=True)
     mixed = placed.groupBy("bucket").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi"), F.max(F.when(F.col("x") == F.col("y"), F.col("cx"))).alias("leader_c")).where("lo <> hi").select("bucket", "leader_c")
-    open_rows = scratch(placed.where("x <> y").join(mixed, "bucket"), "open")
+    open_rows = scratch(placed.where("x <> y").join(mixed, "bucket"), "open", settle=True)
     open_ids = open_rows.select(F.col("x").alias("v")).distinct()
     elements = sets.join(open_ids, "v", "left_semi").select("v", F.explode("elements").alias("e"))
     own = elements.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v")).where("c = 1").groupBy(F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("own"))
@@ -139,7 +139,7 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width:
     least = F.greatest(F.col("least_n"), F.ceil(F.col("nx") * percent / 100))
     rows = rows.where(_reaches(F.col("nx") - F.col("own"), F.col("nx") + least, percent))
     rows = rows.join(reps.select(F.col("v").alias("x"), F.col("d").alias("dx"), F.col("bands")), ["x", "dx"])
-    rows = scratch(rows.select("bucket", "band", "x", "dx", "nx", "cx", "inside", "outside", "bands", (F.col("cx") != F.col("leader_c")).alias("apart")), "bounded")
+    rows = scratch(rows.select("bucket", "band", "x", "dx", "nx", "cx", "inside", "outside", "bands", (F.col("cx") != F.col("leader_c")).alias("apart")), "bounded", settle=True)
     one = rows.where("apart").alias("p")
     two = rows.alias("q")
     may = (
@@ -151,9 +151,9 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width:
         & (F.array_position(F.zip_with("p.bands", "q.bands", lambda a, b: a == b), True) == F.col("p.band") + 1)
     )
     rest = one.join(two, may).select(F.col("p.x").alias("x"), F.col("p.dx").alias("dx"), F.col("p.nx").alias("nx"), F.col("q.x").alias("y"), F.col("q.dx").alias("dy"), F.col("q.nx").alias("ny"))
-    rest = scratch(rest, "rest")
+    rest = scratch(rest, "rest", settle=True)
     more = _compare(rest, sets).where(_reaches(F.col("common"), F.col("nx") + F.col("ny"), percent))
-    more = scratch(more.select(F.col("x").alias("a"), F.col("y").alias("b")), "more")
+    more = scratch(more.select(F.col("x").alias("a"), F.col("y").alias("b")), "more", settle=True)
     return good, labels, more
 
 
@@ -175,14 +175,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: i
     ship_package(docs.sparkSession)
     sketches = scratch(_sketches(docs, id_col, text_col, width, bands, rows), "sketches")
     # Written first: a join of two plain exchanges can split the rows of a hot class.
-    classes = scratch(sketches.where("n > 0").groupBy(F.col("d1").alias("c1"), F.col("d2").alias("c2")).agg(F.min("id").alias("v")), "class-ids")
+    classes = scratch(sketches.where("n > 0").groupBy(F.col("d1").alias("c1"), F.col("d2").alias("c2")).agg(F.min("id").alias("v")), "class-ids", settle=True)
     placed = sketches.join(classes, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
     first = F.col("id") == F.col("v")
-    placed = scratch(placed.select("id", "n", "v", "d1", F.when(first, F.col("bands")).alias("bands")), "classes")
+    placed = scratch(placed.select("id", "n", "v", "d1", F.when(first, F.col("bands")).alias("bands")), "classes", settle=True)
     reps = placed.where("bands is not null").select("v", F.col("d1").alias("d"), "n", "bands")
     good, labels, more = _links(docs, reps, id_col, text_col, width, percent)
     if not more.isEmpty():
-        labels = scratch(components(scratch(good.unionAll(more), "all-links")), "final-labels")
+        labels = scratch(components(scratch(good.unionAll(more), "all-links", settle=True)), "final-labels", settle=True)
     found = placed.join(labels.withColumnRenamed("v", "lv"), F.col("v") == F.col("lv"), "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("root", "v"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
@@ -195,7 +195,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_
     fixed size: rows that are surely not among them pass without a shuffle. Ids
     must be unique: of rows that repeat an id all go if one of them goes."""
     dropped = near_duplicates(docs, percent, width, id_col=id_col, text_col=text_col).where("not kept and doc_id is not null")
-    dropped = scratch(dropped.select(F.col("doc_id").alias(TMP + "gone")).distinct(), "dropped")
+    dropped = scratch(dropped.select(F.col("doc_id").alias(TMP + "gone")).distinct(), "dropped", settle=True)
     bits = bitmap_size(dropped.count())
     columns = [F.col(f"`{c}`") for c in docs.columns]
     key = F.col(f"`{id_col}`").cast("long")
