@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,21 @@ TMP = "__fluviant_"
 BITS_PER_ROW = 32768
 
 
+T = TypeVar("T")
+_resident: dict = {}
+
+
+def resident(key: tuple, build: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task for one operator.
+
+    Workers outlive operators, so another operator's tables are let go first: a
+    worker holds those of one operator at a time."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = build()
+    return _resident[key]
+
+
 def held_out(doc_id: Column) -> Column:
     """True for rows no model may learn from: crc32(id as text) mod 4 is 2.
     A null id is never held out, and never learnt from either (see callers)."""

@@ -11,19 +11,18 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import _sp_model
+from ._common import resident
 
 #: Pre-tokens kept with their ids, in each Python worker; then the table starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 #: Characters of text worked on at once, which bounds the lists of pre-tokens.
 CHUNK_CHARS = 1_000_000
@@ -97,9 +96,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=4)
 def codec(model: bytes, pattern: str) -> Codec:
-    return Codec(model, pattern)
+    return resident(("codec", model, pattern), lambda: Codec(model, pattern))
 
 
 def chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -139,13 +137,12 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Ca
 def text_udf(kind: str, work: Callable[[], Callable[[list[str]], list]], most: int = CHUNK_CHARS):
     """A vectorised function of a text column; null reaches ``work()`` as empty."""
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         do = work()
         for batch in batches:
-            yield pd.Series([x for part in chunks(batch.tolist(), most) for x in do(part)], dtype=object)
+            yield pa.array([x for part in chunks(batch.to_pylist(), most) for x in do(part)])
 
-    return run
+    return F.arrow_udf(run, kind)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from ._common import held_out
+from ._common import held_out, resident
 from .byte_bpe import chunks, map_texts, text_udf
 
 #: First code points of script ranges and the scripts' names.
@@ -42,7 +41,7 @@ BUCKETS, ROWS_PER_LANG = 1 << 15, 2_000
 PENALTY, NOT_ITS_SCRIPT = 12.0, -40.0
 
 #: Words kept with their scores in each Python worker; characters worked on at once.
-CACHE_ENTRIES, CHUNK_CHARS = 300_000, 3_000_000
+CACHE_ENTRIES, CHUNK_CHARS = 200_000, 2_000_000
 
 _runs = re.compile(r"[^\W\d_]+").findall
 
@@ -231,14 +230,9 @@ class Labeller:
         return out
 
 
-_labellers: dict[int, tuple[Model, Labeller]] = {}
-
-
 def _labeller(model: Model) -> Labeller:
-    held = _labellers.get(0)
-    if held is None or held[0] is not model:
-        _labellers[0] = (model, Labeller(model))
-    return _labellers[0][1]
+    # the labeller holds the model, so its id stays taken as long as the entry lives
+    return resident(("labeller", id(model)), lambda: Labeller(model))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = False) -> DataFrame:

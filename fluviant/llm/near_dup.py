@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch, ship_package
-from ._common import TMP, bitmap_of, bitmap_size, split_by_bitmap
+from ._common import TMP, bitmap_of, bitmap_size, resident, split_by_bitmap
 from .components import components
 from .superminhash import Shingler, band_hashes, super_min_hash
 
@@ -33,11 +33,8 @@ from .superminhash import Shingler, band_hashes, super_min_hash
 #: times, a pair at 0.85 once in 50 million times.
 BANDS, ROWS = 24, 4
 
-_shinglers: dict[int, Shingler] = {}
-
-
 def _shingler(width: int) -> Shingler:
-    return _shinglers.setdefault(width, Shingler(width))
+    return resident(("shingler", width), lambda: Shingler(width))
 
 
 def _digest(elements: np.ndarray) -> tuple[int | None, int | None]:

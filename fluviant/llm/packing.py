@@ -16,7 +16,6 @@ import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch, ship_package
+from ._common import resident
 from .byte_bpe import byte_alphabet, chunks
 
 #: Strings kept with their ids in each Python worker.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 #: Items of one packing task, tasks merged into one, bins a task hands on at most.
 ITEMS_PER_TASK, FAN_IN, CARRY = 50_000, 8, 64
 
 
-@lru_cache(maxsize=2)
 def _encoder(tokenizer_json: str, pattern: str):
     """The merge engine for the tokenizer file's vocabulary."""
     import tiktoken
@@ -93,9 +92,8 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer_json: str, pattern: str) -> Encoder:
-    return Encoder(tokenizer_json, pattern)
+    return resident(("encoder", tokenizer_json, pattern), lambda: Encoder(tokenizer_json, pattern))
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:

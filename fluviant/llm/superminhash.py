@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words hashed before, in each Python worker; then the table starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]

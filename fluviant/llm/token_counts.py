@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _sp_model
+from ._common import resident
 from .byte_bpe import CACHE_ENTRIES, map_texts
 
 #: What the model writes for a space.
@@ -83,9 +84,8 @@ class Counter:
         return out
 
 
-@lru_cache(maxsize=4)
 def _counter(proof: Proof) -> Counter:
-    return Counter(proof)
+    return resident(("counter", proof), lambda: Counter(proof))
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

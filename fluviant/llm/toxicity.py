@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch, ship_package
-from ._common import held_out
+from ._common import held_out, resident
 from .byte_bpe import map_texts, text_udf
 
 #: Labelled rows learnt from, of each class; features; length of the pair vectors.
@@ -35,7 +35,7 @@ LEAST_Z = 2.5
 PREFIXES, LEVELS = (4, 5, 6, 7), (1, 2, 4)
 
 #: Words kept with their features in each Python worker.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 
 words = re.compile(r"[^\W\d_]+").findall
 
@@ -170,7 +170,8 @@ class Finder:
     Only a word with a chosen term is looked at further; which of a term's levels
     were chosen is found when it first occurs."""
 
-    def __init__(self, features: dict[int, int]):
+    def __init__(self, features: dict[int, int], model: Model | None = None):
+        self.model = model  # held, so that the id it is known by stays taken
         self.features = features
         self.known: dict[str, tuple[int, ...]] = {}
         self.levels: dict[int, tuple[tuple[int, int], ...]] = {}
@@ -197,14 +198,8 @@ class Finder:
         return sorted({f for t, n in times.items() for level, f in self.levels[t] if n >= level})
 
 
-_finders: dict[int, tuple[Model, Finder]] = {}
-
-
 def _finder(model: Model) -> Finder:
-    held = _finders.get(0)
-    if held is None or held[0] is not model:
-        _finders[0] = (model, Finder(model.features))
-    return _finders[0][1]
+    return resident(("finder", id(model)), lambda: Finder(model.features, model))
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
