@@ -19,7 +19,7 @@ from fluviant.session import scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose main language is known and holds half of the letters."""
+    """Keep documents whose main language is known and holds three tenths of the letters."""
     return langid.keep_identified(docs, langid.learn(docs))
 
 

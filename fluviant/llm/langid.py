@@ -263,7 +263,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *found.columns[1:])
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a language that holds ``least`` of their letters or
     more, all columns unchanged. Rows that are ``und`` go: null texts, and texts
     without a letter."""

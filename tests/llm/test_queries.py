@@ -1,0 +1,67 @@
+"""The registered text queries: whole tables, SQL where there is some, and the pipeline."""
+
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import corpus_pipeline
+from fluviant.llm import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
+
+COLUMNS = {
+    1: {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    2: {"doc_id", "held_out", "score", "predicted"},
+    3: {"doc_id", "n_bytes", "n_tokens", "over_limit"},
+    4: {"doc_id", "held_out", "lang_pred", "score"},
+    5: {"doc_id", "n_shingles", "component_id", "kept"},
+    6: {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
+    7: {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
+    8: {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    9: {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    10: {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query(spark, name):
+    number = int(name[2:].split("_")[0])
+    found = queries.QUERIES[name](spark, SF_DIR).toPandas()
+    assert COLUMNS[number] <= set(found.columns)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").toPandas()
+    assert set(found.doc_id) == set(docs.doc_id)
+    if name in queries.ORACLE_SQL:
+        c = duckdb.connect()
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+        columns = sorted(found.columns)
+        a, b = (df[columns].sort_values("doc_id").reset_index(drop=True) for df in (found, c.execute(queries.ORACLE_SQL[name]).df()))
+        pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["language", "toxicity", "exact dedup", "near dedup", "packing"]
+    before = docs.count()
+    from fluviant.session import scratch
+
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = scratch(stage(spark, docs, SF_DIR), "test-stage")
+        assert docs.columns == columns and 0 < docs.count() <= before
+        before = docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert packed.select("doc_id").distinct().count() == before
+    assert corpus_pipeline.run(spark, SF_DIR).count() == packed.count()
+    texts = docs.toPandas().text
+    assert texts.is_unique
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
