@@ -12,7 +12,7 @@ from .license_scan import license_scan
 from .near_dup import near_duplicates
 from .packing import pack_documents
 from .quality import ledger, verdicts
-from .sharding import feistel_shards
+from .sharding import ROUNDS, feistel_shards
 from .token_counts import count_tokens
 
 
@@ -51,7 +51,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feistel_shards(_documents(spark, sf_dir))
+    return feistel_shards(_documents(spark, sf_dir), _SHARDS, _SEED)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +62,56 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+#: Shards, seed and rounds of op8, as its SQL needs them.
+_SHARDS, _SEED = 24, 20
+
+
+def _feistel_sql(value: str) -> str:
+    """One pass of the permutation over a numbered row, round by round, as nested SQL."""
+    left, right = f"({value} // side)", f"({value} % side)"
+    for k in range(ROUNDS):
+        keyed = f"(CAST('0x' || substr(md5('{_SEED}:{k}:' || CAST({right} AS VARCHAR)), 1, 15) AS BIGINT) % side)"
+        left, right = right, f"(({left} + {keyed}) % side)"
+    return f"({left} * side + {right})"
+
+
+#: The byte table of crc32, from its polynomial.
+_CRC = "(SELECT list(list_reduce(range(8), lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) ORDER BY i) FROM range(256) t(i))"
+
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_token_counts, op4_language, op5_near_duplicates, op6_exact_duplicates, op7_license_scan, op8_feistel_shards, op9_quality_rules, op10_packing)}
 
 ORACLE_SQL = {
+    "op5_near_duplicates": r"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        u AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+        g AS (SELECT doc_id, CASE WHEN n < 5 THEN (CASE WHEN i = 1 THEN concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) END)
+                                  WHEN i <= n - 4 THEN concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) END AS s
+              FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        sh AS (SELECT DISTINCT doc_id, s FROM g WHERE s IS NOT NULL),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        reach(a, b) AS (SELECT DISTINCT x, x FROM e UNION SELECT r.a, e.y FROM reach r JOIN e ON e.x = r.b),
+        m AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id, coalesce(m.root, d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id
+    """,
+    "op8_feistel_shards": f"""
+        WITH RECURSIVE
+        crc AS (SELECT {_CRC} AS tbl),
+        h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        r AS (SELECT doc_id, CAST(length(x) // 2 + 8 AS BIGINT) AS size,
+                     xor(list_reduce(list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+                                     lambda a, b: xor(a >> 8, tbl[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32 FROM h, crc),
+        s AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS row_number, count(*) OVER () AS n FROM r),
+        t AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS side FROM s),
+        step(doc_id, size, text_crc32, row_number, n, side, v) AS (
+            SELECT doc_id, size, text_crc32, row_number, n, side, {_feistel_sql("row_number")} FROM t
+            UNION ALL SELECT doc_id, size, text_crc32, row_number, n, side, {_feistel_sql("v")} FROM step WHERE v >= n)
+        SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(v % {_SHARDS} AS INTEGER) AS shard, v // {_SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard, row_number FROM step WHERE v < n
+    """,
     "op6_exact_duplicates": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
              k AS (SELECT doc_id, norm, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)

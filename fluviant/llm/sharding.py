@@ -17,15 +17,25 @@ from pyspark.sql import functions as F
 from ..operators.numbering import numbered
 
 
+#: Rounds of the permutation.
+ROUNDS = 4
+
+
+def _keyed(value: Column, seed: int, k: int) -> Column:
+    """60 bits of a hash of the value under a round's key; any engine can compute it."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{k}:"), value.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def _feistel(x: Column, side: int, seed: int, rounds: int) -> Column:
     """A permutation of 0..side*side-1: Feistel rounds that add modulo ``side``."""
     left, right = F.floor(x / side).cast("long"), F.pmod(x, F.lit(side))
     for k in range(rounds):
-        left, right = right, F.pmod(left + F.pmod(F.xxhash64(right, F.lit(k), F.lit(seed)), F.lit(side)), F.lit(side))
+        left, right = right, F.pmod(left + F.pmod(_keyed(right, seed, k), F.lit(side)), F.lit(side))
     return left * side + right
 
 
-def permuted(x: Column, n: int, seed: int = 0, rounds: int = 4) -> Column:
+def permuted(x: Column, n: int, seed: int = 0, rounds: int = ROUNDS) -> Column:
     """Feistel permutation of 0..n-1 with cycle walking.
 
     The domain is the square of ceil(sqrt(n)), so about 2/sqrt(n) of the numbers
