@@ -6,6 +6,7 @@ is valid, so that a failed run leaves nothing half written behind.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import re
 from functools import reduce
@@ -17,7 +18,7 @@ from ..operators import clean, ingest, routing_tables, validate, weights
 from ..schema import GEOMETRY, OUTLET
 from ..session import scratch
 from ..sources.files import read_geoparquet, write_geoparquet, write_single_csv
-from .master import Master, Options, run_regions
+from .master import Master, Options, options_by_region, run_groups
 
 log = logging.getLogger(__name__)
 
@@ -61,7 +62,7 @@ class Store:
 
 
 def region_of(path: str) -> str:
-    """The region number in a layer's name, e.g. ``TDX_streamnet_1020000010_01.gpkg``."""
+    """The region number in a layer's name, e.g. ``streamnet_1020000010_01.gpkg``."""
     numbers = re.findall(r"\d{6,}", path.rsplit("/", 1)[-1])
     if len(numbers) != 1:
         raise ValueError(f"no region number in {path}")
@@ -106,12 +107,47 @@ def dissolve_lists(passes: list[DataFrame]) -> DataFrame:
     return pairs.groupBy(F.col("keep").alias("LINKNO")).agg(F.sort_array(F.collect_set("drop")).alias("upstream"))
 
 
-def build_masters(spark: SparkSession, streams: DataFrame, lakes: DataFrame, options: DataFrame, store: Store) -> tuple[dict[Options, Master], dict[Options, Exception]]:
-    """Masters for all regions to process; groups of regions that are written already are skipped."""
-    done, failed = run_regions(streams, lakes, options)
-    for k, made in enumerate(done.values()):
-        write_master(made, store, f"group={k}")
-    return done, failed
+def read_master(spark: SparkSession, store: Store, group: str) -> Master:
+    """The master and the change logs of a group as they were written."""
+
+    def table(name: str) -> DataFrame | None:
+        return spark.read.parquet(store(group, name)) if store.exists(store(group, name)) else None
+
+    def by_region(name: str) -> DataFrame:  # region numbers are strings, also as parts of paths
+        rows = spark.read.parquet(store(group, name))
+        return rows.withColumn("TDXHydroRegion", F.col("TDXHydroRegion").cast("string"))
+
+    dissolved = [table(f"mod_dissolve_headwater_{k}") for k in (2, 3)]
+    return Master(
+        by_region("master"), table("mod_zero_length_streams"), table("mod_basin_zero_centroid"), table("mod_drop_small_trees"),
+        [d for d in dissolved if d is not None], table("mod_prune_streams"), table("mod_merge_short_streams"),
+    )
+
+
+def group_name(options: Options, regions: list[str]) -> str:
+    """A folder name that changes with the options and with the regions they are for."""
+    return "group=" + hashlib.md5(repr((options, sorted(regions))).encode()).hexdigest()[:12]
+
+
+def build_masters(spark: SparkSession, streams: DataFrame, lakes: DataFrame, options: DataFrame, store: Store) -> tuple[list[str], dict[Options, Exception]]:
+    """Write the masters of all regions to process; (groups on disk, failures).
+
+    A group that is written already, with the same options and regions, is skipped;
+    another is staged and promoted once complete."""
+    groups = options_by_region(options)
+    names = {o: group_name(o, regions) for o, regions in groups.items()}
+    missing = {o: regions for o, regions in groups.items() if not store.exists(store(names[o]))}
+    done, failed = run_groups(streams, lakes, missing)
+    for o, made in done.items():
+        staged = "staged_" + names[o]
+        try:
+            store.delete(store(staged))
+            write_master(made, store, staged)
+            store.promote(store(staged), store(names[o]))
+        except Exception as e:  # noqa: BLE001 - one group's failure must not stop the rest
+            log.exception("group %s failed", names[o])
+            failed[o] = e
+    return [n for n in names.values() if store.exists(store(n))], failed
 
 
 def build_weights(made: Master, basins: DataFrame, axis: DataFrame, with_npoints: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -190,4 +226,31 @@ def final_streams(spark: SparkSession, line_paths: list[str], master: DataFrame,
     write_geoparquet(lines.join(master, "LINKNO"), target, partition_by="VPUCode")
 
 
-__all__ = ["GEOMETRY", "OUTLET", "Store", "ingest_layers", "build_masters", "build_weights", "write_weights", "write_unit", "export_units", "final_streams", "dissolve_lists"]
+def workflow(spark: SparkSession, streams: DataFrame, basins: DataFrame, lakes: DataFrame, options: DataFrame, vpu: DataFrame, axes: dict[str, DataFrame], store: Store) -> dict[int, bool]:
+    """From stream and basin tables to processing units; True for each valid unit.
+
+    Masters first; then, from their change logs on disk, the weights of each group and
+    grid, full and slim; then the global master and the units. What exists is kept."""
+    groups, _ = build_masters(spark, streams, lakes, options, store)
+    slim: dict[str, list[str]] = {name: [] for name in axes}
+    for group in groups:
+        made = read_master(spark, store, group)
+        # A group's weights are those of its own basins: what it kept, and what it folded into those.
+        regions = made.table.select("TDXHydroRegion").distinct()
+        own = basins.join(streams.join(F.broadcast(regions), "TDXHydroRegion", "left_semi").select("LINKNO"), "LINKNO", "left_semi")
+        for name, axis in axes.items():
+            target = store(group, f"weight_{name}")
+            if not store.exists(target):
+                full, few = build_weights(made, own, axis)
+                full.write.mode("overwrite").parquet(store(group, f"weight_{name}_full"))
+                few.write.mode("overwrite").parquet(target + ".staged")
+                store.promote(target + ".staged", target)
+            slim[name].append(target)
+    masters = reduce(DataFrame.unionByName, [read_master(spark, store, g).table for g in groups])
+    master = scratch(routing_tables.global_master(masters, vpu), "global-master")
+    master.write.mode("overwrite").parquet(store("global_master"))
+    tables = {f"weight_{name}.csv": spark.read.parquet(*paths) for name, paths in slim.items()}
+    return export_units(spark, master, tables, Store(spark, store("units")))
+
+
+__all__ = ["GEOMETRY", "OUTLET", "Store", "ingest_layers", "build_masters", "read_master", "build_weights", "write_weights", "write_unit", "export_units", "final_streams", "dissolve_lists", "workflow"]

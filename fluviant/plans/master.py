@@ -95,12 +95,12 @@ def options_by_region(table: DataFrame) -> dict[Options, list[str]]:
     return groups
 
 
-def run_regions(streams: DataFrame, lakes: DataFrame, table: DataFrame) -> tuple[dict[Options, Master], dict[Options, Exception]]:
-    """A master for each group of regions with equal options, and the groups that failed.
+def run_groups(streams: DataFrame, lakes: DataFrame, groups: dict[Options, list[str]]) -> tuple[dict[Options, Master], dict[Options, Exception]]:
+    """A master for each group of regions, and the groups that failed.
 
     A failure is logged and leaves the other groups alone."""
     done, failed = {}, {}
-    for options, regions in options_by_region(table).items():
+    for options, regions in groups.items():
         try:
             chosen = streams.where(F.col("TDXHydroRegion").isin(regions))  # 62 regions at most
             done[options] = region_master(chosen, lakes, options)
@@ -108,3 +108,8 @@ def run_regions(streams: DataFrame, lakes: DataFrame, table: DataFrame) -> tuple
             log.exception("regions %s failed", regions)
             failed[options] = e
     return done, failed
+
+
+def run_regions(streams: DataFrame, lakes: DataFrame, table: DataFrame) -> tuple[dict[Options, Master], dict[Options, Exception]]:
+    """``run_groups`` for the regions to process in an options table."""
+    return run_groups(streams, lakes, options_by_region(table))

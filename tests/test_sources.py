@@ -96,7 +96,7 @@ def test_global_ids_and_unknown_regions(spark):
 
 
 def test_region_is_taken_from_the_name():
-    assert jobs.region_of("/a/TDX_streamnet_1020000010_01.gpkg") == "1020000010"
+    assert jobs.region_of("/a/streamnet_1020000010_01.gpkg") == "1020000010"
     with pytest.raises(ValueError, match="no region"):
         jobs.region_of("streams_7.gpkg")
 
@@ -111,7 +111,7 @@ def orders(spark, tmp_path_factory):
 def test_ingest_skips_what_exists(spark, orders, tmp_path):
     store = jobs.Store(spark, str(tmp_path))
     layer = fixtures.raw_streams(spark, orders).where("TDXHydroRegion = '1020000010'").drop("TDXHydroRegion", "LengthGeodesicMeters")
-    layers = {"TDX_streamnet_1020000010_01.gpkg": layer}
+    layers = {"streamnet_1020000010_01.gpkg": layer}
     assert jobs.ingest_layers(layers, header_numbers(spark), store, "streams") == ["1020000010"]
     assert jobs.ingest_layers(layers, header_numbers(spark), store, "streams") == []
     written = files.read_geoparquet(spark, store("streams", "region=1020000010"))
@@ -146,6 +146,25 @@ def test_units_are_staged_checked_and_kept(spark, orders, tmp_path):
     assert all(r["upstream"] for r in lists)
 
 
+def test_workflow_from_tables_to_units(spark, orders, tmp_path, monkeypatch):
+    store = jobs.Store(spark, str(tmp_path))
+    table = spark.createDataFrame(
+        [(int(r), True, True, True, True, True, 200.0, k) for r, k in (("1020000010", 3), ("1020011530", 2))],
+        "region_number long, process boolean, drop_small_watersheds boolean, dissolve_headwaters boolean, prune_main_stems boolean, merge_short_streams boolean, min_area_km2 double, min_stream_order int",
+    )
+    given = (fixtures.streams(spark, orders), fixtures.basins(spark, orders), fixtures.lakes(spark, orders), table, fixtures.vpu(spark, orders), {"grid": fixtures.grid_axis(spark)})
+    state = jobs.workflow(spark, *given, store)
+    assert state and all(isinstance(v, bool) for v in state.values())
+    groups = [n for n in store.names(store.root) if n.startswith("group=")]
+    assert len(groups) == 2 and not [n for n in store.names(store.root) if "staged" in n]
+    for g in groups:
+        made = jobs.read_master(spark, store, g)
+        assert {"LINKNO", "TerminalLink", "musk_k"} <= set(made.table.columns) and made.pruned is not None
+    # a second run computes no master again
+    monkeypatch.setattr(jobs, "run_groups", lambda streams, lakes, groups: ({}, {}) if not groups else pytest.fail("computed again"))
+    assert jobs.workflow(spark, *given, store) == state
+
+
 def test_weight_file_order(spark, tmp_path):
     rows = spark.createDataFrame([(2, 1.0), (1, 5.0), (1, 7.0)], "LINKNO long, area_sqm double")
     for full, expected in ((True, [5.0, 7.0, 1.0]), (False, [7.0, 5.0, 1.0])):
