@@ -100,3 +100,13 @@ def mercator_x(lon: Column) -> Column:
 def mercator_y(lat: Column) -> Column:
     """Spherical Mercator, as web maps use it."""
     return A * F.log(F.tan(math.pi / 4 + F.radians(lat) / 2))
+
+
+def mercator_lon(x: Column) -> Column:
+    """Degrees east of spherical Mercator metres."""
+    return F.degrees(x / A)
+
+
+def mercator_lat(y: Column) -> Column:
+    """Degrees north of spherical Mercator metres."""
+    return F.degrees(2 * F.atan(F.exp(y / A)) - math.pi / 2)

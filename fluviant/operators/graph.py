@@ -1,8 +1,10 @@
 """Questions about a forest of downstream pointers, answered by pointer doubling.
 
-A round joins each pointer with the pointer of its target, so paths of any depth
-take a logarithmic number of joins. Every round is written to the shared folder,
-which keeps plans small and survives lost executors.
+A round joins each pointer with the pointers of its targets, three times over, so
+that a pointer gets four times as long and paths of any depth take a logarithmic
+number of joins. All joins of a round read the same table, whose exchange Spark
+reuses. Every round is written to the shared folder, which keeps plans small and
+survives lost executors.
 """
 
 from __future__ import annotations
@@ -16,6 +18,10 @@ from ..schema import OUTLET
 from ..session import scratch
 
 
+#: Joins of a round; a pointer gets one more than this times as long.
+HOPS = 3
+
+
 class CycleError(ValueError):
     """The pointers run in a circle."""
 
@@ -26,7 +32,8 @@ def edges(network: DataFrame, id_col: str = "LINKNO", ds_col: str = "DSLINKNO")
 
 
 def _rounds(n: int) -> int:
-    return math.ceil(math.log2(max(n, 2))) + 2
+    """Rounds after which every pointer has left a forest of n segments."""
+    return math.ceil(math.log(max(n, 2), HOPS + 1)) + 2
 
 
 def resolve_chains(links: DataFrame) -> DataFrame:
@@ -36,7 +43,10 @@ def resolve_chains(links: DataFrame) -> DataFrame:
     state = scratch(links.select("id", "target"), "chain-0")
     for k in range(_rounds(state.count())):
         onward = state.select(F.col("id").alias("target"), F.col("target").alias("next"))
-        state = scratch(state.join(onward, "target", "left").select("id", F.coalesce("next", "target").alias("target"), F.col("next").isNull().alias("done")), f"chain-{k + 1}")
+        ahead = state
+        for _ in range(HOPS):
+            ahead = ahead.join(onward, "target", "left").select("id", F.coalesce("next", "target").alias("target"), F.col("next").isNull().alias("done"))
+        state = scratch(ahead, f"chain-{k + 1}")
         if state.where("not done").isEmpty():
             return state.select("id", F.col("target").alias("final"))
         state = state.select("id", "target")
@@ -59,7 +69,10 @@ def last_marked(network: DataFrame, marked: DataFrame) -> DataFrame:
         if state.where("to is not null").isEmpty():
             return state.where("mark is not null").select("id", "mark")
         onward = state.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("mark").alias("below"))
-        state = scratch(state.join(onward, "to", "left").select("id", F.col("next").alias("to"), F.coalesce("below", "mark").alias("mark")), f"mark-{k + 1}")
+        ahead = state
+        for _ in range(HOPS):
+            ahead = ahead.join(onward, "to", "left").select("id", F.col("next").alias("to"), F.coalesce("below", "mark").alias("mark"))
+        state = scratch(ahead, f"mark-{k + 1}")
     raise CycleError("downstream pointers form a cycle")
 
 
@@ -69,10 +82,15 @@ def heights(network: DataFrame) -> DataFrame:
     for k in range(_rounds(state.count())):
         if state.where("to is not null").isEmpty():
             return state.select("id", "height")
-        reached = state.where("to is not null").groupBy(F.col("to").alias("id")).agg((F.max("height") + (1 << k)).alias("from_above"))
+        # where each id gets to by one, two and three pointers, and the length of the way
         onward = state.select(F.col("id").alias("to"), F.col("to").alias("next"))
-        moved = state.join(onward, "to", "left").select("id", F.col("next").alias("to"), "height")
-        state = scratch(moved.join(reached, "id", "left").select("id", "to", F.greatest("height", F.coalesce("from_above", F.lit(0))).alias("height")), f"height-{k + 1}")
+        ahead, arrivals, length = state, None, (HOPS + 1) ** k
+        for j in range(1, HOPS + 1):
+            here = ahead.where("to is not null").select(F.col("to").alias("id"), (F.col("height") + j * length).alias("from_above"))
+            arrivals = here if arrivals is None else arrivals.unionByName(here)
+            ahead = ahead.join(onward, "to", "left").select("id", F.col("next").alias("to"), "height")
+        reached = arrivals.groupBy("id").agg(F.max("from_above").alias("from_above"))
+        state = scratch(ahead.join(reached, "id", "left").select("id", "to", F.greatest("height", F.coalesce("from_above", F.lit(0))).alias("height")), f"height-{k + 1}")
     raise CycleError("downstream pointers form a cycle")
 
 
@@ -80,7 +98,7 @@ def ancestor_pairs(network: DataFrame) -> DataFrame:
     """``LINKNO, ancestor, distance`` for each segment and all segments upstream of it."""
     step = scratch(edges(network), "jump-0")
     pairs = scratch(step.select(F.col("id").alias("ancestor"), F.col("target").alias("LINKNO"), F.lit(1).cast("long").alias("distance")), "pairs-0")
-    for k in range(_rounds(step.count())):
+    for k in range(2 * _rounds(step.count())):
         if step.isEmpty():
             return pairs
         beyond = step.select(F.col("id").alias("start"), F.col("target").alias("ancestor")).join(pairs, "ancestor")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geodesy import equal_area_x, equal_area_y
+from ..functions.geodesy import equal_area_x, equal_area_y, mercator_lat, mercator_lon
 from ..functions.lines import bounds, clip_polygon, map_points, polygon_area
 from ..session import scratch
 from .graph import resolve_chains
@@ -118,6 +118,26 @@ def basin_weights(basins: DataFrame, axis: DataFrame, id_col: str = "LINKNO", wi
     return found
 
 
+def basin_weights_of_axes(basins: DataFrame, axis: DataFrame, id_col: str = "LINKNO") -> DataFrame:
+    """Weights straight from a grid's axes, cut to the basins' surroundings, with ``npoints``.
+
+    Indices stay those of the whole axes. An empty basin table has no surroundings and
+    gives no rows."""
+    around = total_bounds(basins)
+    if around[0] is None:
+        return basin_weights(basins, axis, id_col, with_npoints=True)
+    return basin_weights(basins, axis_window(axis, around), id_col, with_npoints=True, margin=grid_margin(axis))
+
+
+def in_degrees(basins: DataFrame, crs: str) -> DataFrame:
+    """Basins in degrees, whatever of the two systems in use they come in."""
+    if crs.lower() in ("epsg:4326", "ogc:crs84"):
+        return basins
+    if crs.lower() != "epsg:3857":
+        raise ValueError(f"cannot reproject {crs}")
+    return basins.withColumn("geometry", map_points(F.col("geometry"), lambda p: mercator_lon(p["x"]), lambda p: mercator_lat(p["y"])))
+
+
 def simplify_weights(weights: DataFrame, dissolve_passes: list[DataFrame], prune: DataFrame, drop: DataFrame, merge: DataFrame, id_col: str = "LINKNO") -> DataFrame:
     """Replay the network's changes on a weight table.
 

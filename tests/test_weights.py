@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fluviant.functions import geodesy
-from fluviant.functions.lines import box
+from fluviant.functions.lines import box, map_points
 from fluviant.operators import validate, weights
 from fluviant.plans import fixtures
 from fluviant.sources.files import read_axis
@@ -73,6 +73,25 @@ def test_window_and_wrapped_window(spark):
     assert lon == {0, 1, 2, 3, 1437, 1438, 1439}
 
 
+def test_weights_of_axes_equal_those_of_the_whole_grid(spark):
+    axis = fixtures.grid_axis(spark)
+    table = basins(spark, [(1, 10.3, 20.3, 0.2), (2, 11.0, 21.1, 0.2)])
+    cut = {tuple(r) for r in weights.basin_weights_of_axes(table, axis).collect()}
+    assert cut == {tuple(r) for r in weights.basin_weights(table, axis, with_npoints=True).collect()} and cut
+    assert weights.basin_weights_of_axes(table.limit(0), axis).isEmpty()
+
+
+def test_basins_come_in_degrees(spark):
+    table = basins(spark, [(1, 10.3, 20.3, 0.2)])
+    moved = table.withColumn("geometry", map_points(F.col("geometry"), lambda p: geodesy.mercator_x(p["x"]), lambda p: geodesy.mercator_y(p["y"])))
+    back = weights.in_degrees(moved, "EPSG:3857").first()["geometry"][0]
+    for a, b in zip(back, table.first()["geometry"][0], strict=True):
+        assert (a["x"], a["y"]) == pytest.approx((b["x"], b["y"]), abs=1e-9)
+    assert weights.in_degrees(table, "epsg:4326") is table
+    with pytest.raises(ValueError, match="reproject"):
+        weights.in_degrees(table, "epsg:32633")
+
+
 def test_null_id_becomes_zero(spark):
     found = weights.basin_weights(basins(spark, [(None, 10.0, 20.0, 0.05)]), fixtures.grid_axis(spark)).first()
     assert found["LINKNO"] == 0
