@@ -28,8 +28,8 @@ from .byte_bpe import map_texts, text_udf
 #: Labelled rows learnt from, of each class; features; length of the pair vectors.
 ROWS_PER_CLASS, FEATURES, FACTORS = 6_000, 768, 8
 
-#: Standard errors by which a term's log frequency ratio must differ from zero.
-LEAST_Z = 2.5
+#: Standard errors by which a term's document frequencies must differ.
+LEAST_Z = 4.0
 
 #: Beginnings of words that are terms, by length; occurrences that make further terms.
 PREFIXES, LEVELS = (4, 5, 6, 7), (1, 2, 4)
@@ -116,6 +116,17 @@ def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, ste
     return float(params[0][0]), params[1], params[2]
 
 
+def _sample(ids: DataFrame, n: int, most: int) -> DataFrame:
+    """The ``most`` ids with the smallest hashes, of ``n``.
+
+    Hashes beyond the share that holds them with ample room are filtered out first,
+    so that not every task sends ``most`` rows to the one that picks."""
+    spread = 1 << 40
+    place = F.pmod(F.xxhash64("id"), F.lit(spread))
+    share = min(1.0, (1.2 * most + 500) / max(n, 1))
+    return ids.where(place < int(share * spread)).orderBy(place, "id").limit(most)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS, n_features: int = FEATURES, factors: int = FACTORS, least_z: float = LEAST_Z) -> Model:
     """Fit on at most ``rows_per_class`` labelled rows of each class.
 
@@ -131,7 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     nothing = Model({}, bias, np.zeros(0, np.float32), np.zeros((0, factors), np.float32))
     if not sizes.get(0) or not sizes.get(1):
         return nothing
-    ids = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(rows_per_class) for c in (0, 1)]
+    ids = [_sample(known.where(F.col("toxic") == c), sizes[c], rows_per_class) for c in (0, 1)]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = scratch(rows.join(F.broadcast(ids[0].unionAll(ids[1])), "id").select("text", "toxic"), "toxic-sample")
     got = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
@@ -140,9 +151,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not n_pos or not n_neg:
         return nothing
     counts = sample.mapInArrow(_count_terms, "term long, pos long, n long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
-    p, q = (F.col("pos") + 0.5) / (n_pos + 1), (F.col("n") - F.col("pos") + 0.5) / (n_neg + 1)
-    spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("n") - F.col("pos") + 0.5))
-    z = F.abs(F.log(p / q)) / spread
+    # Two-proportion test. (A log ratio over its error saturates for terms that no clean text
+    # has, the very ones that matter, and ranks them behind common words.)
+    p, q, both = F.col("pos") / n_pos, (F.col("n") - F.col("pos")) / n_neg, F.col("n") / (n_pos + n_neg)
+    z = F.abs(p - q) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n_pos + 1 / n_neg))
     chosen = counts.where("n >= 3").select("term", z.alias("z")).where(F.col("z") > least_z).orderBy(F.desc("z"), "term").limit(n_features)
     features = {int(r[0]): i for i, r in enumerate(chosen.collect())}
     if not features:
