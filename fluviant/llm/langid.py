@@ -37,6 +37,9 @@ _SCRIPT_AT = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS], np.int6
 #: Hash buckets of character n-grams, and rows learnt from for each language.
 BUCKETS, ROWS_PER_LANG = 1 << 15, 2_000
 
+#: Languages learnt at most, the most frequent ones; it bounds the model.
+MOST_LANGS = 200
+
 #: Cost of a switch, in natural-log units; score of a language whose script it is not.
 PENALTY, NOT_ITS_SCRIPT = 12.0, -40.0
 
@@ -103,8 +106,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(hit), pa.string()), pa.array(hit.astype(np.int32)), pa.array(total[hit].astype(np.int64))], names=["lang", "bucket", "n"])
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, penalty: float = PENALTY) -> Model:
-    """Fit the n-gram model on about ``rows_per_lang`` rows of each language.
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, penalty: float = PENALTY, most_langs: int = MOST_LANGS) -> Model:
+    """Fit the n-gram model on about ``rows_per_lang`` rows of each of the ``most_langs``
+    most frequent languages.
 
     Rows with a null id, text or language and held-out rows are never read. Which
     rows are sampled depends on the id's hash alone. Counting runs on the
@@ -112,7 +116,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
+    sizes = {r[0]: r[1] for r in counted.collect()}
     share = F.lit(0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, min(1_000_000, int(1e6 * rows_per_lang / n) + 1)).otherwise(share)
