@@ -24,7 +24,8 @@ class Rule(NamedTuple):
 #: Weight of a detection by priority; the score of a text is its best detection's.
 WEIGHTS = {0: 1.0, 1: 1.0, 2: 0.9, 3: 0.7, 4: 0.5}
 
-#: Fixed values: (label, keyword, regex of the name, words of the SPDX identifier).
+#: Fixed values: (label, keywords, regex of the name, words of the SPDX identifier). Each
+#: spelling of a name holds one of the keywords at a word's start, or the identifier.
 FAMILIES = [
     ("0bsd", "bsd", "(?:bsd zero clause|zero clause bsd|0bsd)", "0bsd"),
     ("afl-3.0", "academic", "academic free license(?: (?:version |v )?3 0)?", "afl 3 0"),
@@ -33,10 +34,10 @@ FAMILIES = [
     ("apache-1.1", "apache", "apache(?: software)? license (?:version |v )?1 1", "apache 1 1"),
     ("apache-2.0", "apache", "apache(?: software)?(?: license)? (?:version |v )?2 0", "apache 2 0"),
     ("artistic-2.0", "artistic", "artistic license(?: (?:version |v )?2 0)?", "artistic 2 0"),
-    ("bsd-2-clause", "bsd", "(?:simplified bsd|freebsd|(?:bsd )?2 clause bsd|bsd 2 clause|two clause bsd)", "bsd 2 clause"),
+    ("bsd-2-clause", "bsd|freebsd", "(?:simplified bsd|freebsd|(?:bsd )?2 clause bsd|bsd 2 clause|two clause bsd)", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", "(?:new bsd|modified bsd|revised bsd|(?:bsd )?3 clause bsd|bsd 3 clause|three clause bsd)", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", "(?:original bsd|4 clause bsd|bsd 4 clause|four clause bsd)", "bsd 4 clause"),
-    ("bsd", "bsd", "(?:bsd|berkeley software distribution)", "bsd"),
+    ("bsd", "bsd|berkeley", "(?:bsd|berkeley software distribution)", "bsd"),
     ("bsl-1.0", "boost", "boost software license(?: (?:version |v )?1 0)?", "bsl 1 0"),
     ("busl-1.1", "business source", "business source license(?: (?:version |v )?1 1)?", "busl 1 1"),
     ("cc0-1.0", "cc0", "cc0(?: (?:version |v )?1 0)?(?: universal)?", "cc0 1 0"),
@@ -64,20 +65,20 @@ FAMILIES = [
     ("gpl-3.0-short", "gpl", "(?:gnu )?(?:gplv3|gpl v3|gpl 3(?: 0)?)", "gpl3"),
     ("icu", "icu", "icu license", "icu"),
     ("ijg", "jpeg", "independent jpeg group license", "ijg"),
-    ("isc", "isc", "(?:isc|internet systems consortium)", "isc"),
+    ("isc", "isc|internet systems", "(?:isc|internet systems consortium)", "isc"),
     ("lgpl", "lesser", "(?:gnu )?lesser general public license", "lgpl"),
     ("lgpl-2.1", "lesser", "(?:gnu )?lesser general public license (?:version |v )?2 1(?: or later)?", "lgpl 2 1(?: only| or later)?"),
     ("lgpl-3.0", "lesser", "(?:gnu )?lesser general public license (?:version |v )?3(?: 0)?(?: or later)?", "lgpl 3 0(?: only| or later)?"),
     ("lgpl-2.0", "library general", "(?:gnu )?library general public license(?: (?:version |v )?2(?: 0)?)?", "lgpl 2 0(?: only| or later)?"),
     ("lppl-1.3c", "latex project", "latex project public license(?: (?:version |v )?(?:1 3|1 3c))?", "lppl 1 3c"),
-    ("libpng", "libpng", "(?:libpng|png) license", "libpng"),
-    ("mit", "mit", "(?:mit|expat|mit x11)", "mit"),
+    ("libpng", "libpng|png", "(?:libpng|png) license", "libpng"),
+    ("mit", "mit|expat", "(?:mit|expat|mit x11)", "mit"),
     ("mit-0", "mit", "mit no attribution", "mit 0"),
     ("mpl-1.1", "mozilla", "mozilla public license (?:version |v )?1 1", "mpl 1 1"),
     ("mpl-2.0", "mozilla", "mozilla public license(?: (?:version |v )?2 0)?", "mpl 2 0"),
     ("ms-pl", "microsoft", "microsoft public license", "ms pl"),
     ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl"),
-    ("ncsa", "ncsa", "university of illinois(?: ncsa)? open source license", "ncsa"),
+    ("ncsa", "university of illinois", "university of illinois(?: ncsa)? open source license", "ncsa"),
     ("odbl-1.0", "open database", "open database license(?: (?:version |v )?1 0)?", "odbl 1 0"),
     ("ofl-1.1", "open font", "(?:sil )?open font license(?: (?:version |v )?1 1)?", "ofl 1 1"),
     ("openssl", "openssl", "openssl license", "openssl"),
@@ -92,7 +93,7 @@ FAMILIES = [
     ("upl-1.0", "universal permissive", "universal permissive license(?: (?:version |v )?1 0)?", "upl 1 0"),
     ("vim", "vim", "vim license", "vim"),
     ("w3c", "w3c", "w3c software(?: notice and)? license", "w3c"),
-    ("wtfpl", "wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl"),
+    ("wtfpl", "wtfpl|do what the fuck", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl"),
     ("x11", "x11", "x11 license", "x11"),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("zpl-2.1", "zope", "zope public license(?: (?:version |v )?2 1)?", "zpl 2 1"),
@@ -128,7 +129,8 @@ BODIES = [
 ]
 
 #: A text without any of these words cannot match a rule or a base phrase.
-GATE = ("licen", "spdx", "permission", "redistribut", "free software", "public domain", "reserved", "proprietary", "copyleft", "warrant", "compliance")
+GATE = ("licen", "spdx", "permission", "redistribut", "free software", "public domain", "reserved", "proprietary", "copyleft", "warrant", "compliance",
+        "released under", "distributed under", "published under", "provided under", "available under", "covered under")
 
 #: The base phrases and their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
@@ -142,8 +144,8 @@ def _plain(spdx: str) -> str:
 def rules() -> list[Rule]:
     """All rules in order of priority: families by template, then bodies."""
     built = [
-        Rule(priority, label.removesuffix("-short"), needs, (f" {keyword}", f" {_plain(spdx)} "), template.format(n=name, i=spdx, e=f"(?:{name}|{spdx})"))
+        Rule(priority, label.removesuffix("-short"), needs, (*(f" {k}" for k in keywords.split("|")), f" {_plain(spdx)} "), template.format(n=name, i=spdx, e=f"(?:{name}|{spdx})"))
         for priority, needs, template in TEMPLATES
-        for label, keyword, name, spdx in FAMILIES
+        for label, keywords, name, spdx in FAMILIES
     ]
     return sorted(built + BODIES, key=lambda r: r.priority)

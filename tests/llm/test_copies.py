@@ -267,5 +267,41 @@ def test_words_of_the_prefilter_never_hide_a_match():
     assert Counter(r.priority for r in license_rules.rules())[1] > 60
 
 
+def expansions(pattern):
+    """Every text a rule's regex stands for: groups, alternatives and optional groups."""
+
+    def alternatives(at):
+        done, now = [], [""]
+        while at < len(pattern) and pattern[at] != ")":
+            if pattern[at] == "|":
+                done, now, at = done + now, [""], at + 1
+            elif pattern.startswith("(?:", at):
+                inner, at = alternatives(at + 3)
+                at += 1
+                if pattern.startswith("?", at):
+                    inner, at = ["", *inner], at + 1
+                now = [a + b for a in now for b in inner]
+            else:
+                now, at = [a + pattern[at] for a in now], at + 1
+        return done + now, at
+
+    return alternatives(0)[0]
+
+
+def test_no_spelling_of_a_rule_is_hidden_by_the_prefilter(spark):
+    for rule in license_rules.rules():
+        for text in expansions(rule.pattern):
+            assert re.fullmatch(rule.pattern, text), (rule, text)
+            assert any(g in text for g in license_rules.GATE), text
+            assert rule.needs in f" {text} " and any(k in f" {text} " for k in rule.keywords), (rule, text)
+    spellings = {
+        "Licensed under the Expat license": "mit", "released under the FreeBSD license": "bsd-2-clause", "see the Berkeley Software Distribution license": "bsd",
+        "the Internet Systems Consortium license": "isc", "under the University of Illinois open source license license": "ncsa", "licensed under the PNG license": "libpng",
+        "distributed under the Do What The Fuck You Want To Public License": "wtfpl", "available under GPL-3.0-only": "gpl-3.0",
+    }
+    found = license_scan.license_scan(docs(spark, list(spellings))).orderBy("doc_id").collect()
+    assert [r["labels"] for r in found] == list(spellings.values()) and all(r["score"] > 0 for r in found)
+
+
 def test_row_helper_matches_schema():
     assert len(row(1, "x")) == SCHEMA.count(",") + 1
