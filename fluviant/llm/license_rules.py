@@ -8,6 +8,7 @@ is its template's, and a smaller number is stronger.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 
@@ -99,13 +100,14 @@ FAMILIES = [
     ("zpl-2.1", "zope", "zope public license(?: (?:version |v )?2 1)?", "zpl 2 1"),
 ]
 
-#: Fixed values: (priority, what a text needs, regex around a family's name {n}, identifier {i} or either {e}).
+#: Fixed values: (priority, what a text needs, regex around a family's name with the word license {l}, its
+#: identifier {i} or name or identifier {e}).
 TEMPLATES = [
     (0, "spdx", "spdx license identifier {i}"),
     (1, " under ", "(?:licensed|licenced) (?:to you )?under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
     (2, " under ", "(?:released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{e}(?: (?:license|licence))?"),
-    (3, "licen", "(?:see|read|under|per|accept|of) the {n} (?:license|licence)"),
-    (4, "licen", "{n}(?: (?:license|licence))"),
+    (3, "licen", "(?:see|read|under|per|accept|of) the {l}"),
+    (4, "licen", "{l}"),
 ]
 
 #: Passages of license bodies and notices.
@@ -141,11 +143,25 @@ def _plain(spdx: str) -> str:
     return spdx.split("(")[0].strip()
 
 
+def _any_version(name: str) -> str:
+    """``name`` that also takes a version written in one word with its v."""
+    return re.sub(r"\(\?:version \|v \)\?(\d+|\(\?:1 3\|1 3c\))", lambda m: f"(?:(?:version |v )?{m[1]}|{m[1].replace('1 3', 'v1 3') if m[1][0] == '(' else 'v' + m[1]})", name)
+
+
+def _titled(name: str) -> str:
+    """``name`` and the word license, which may go without saying after a name that holds it."""
+    if "(?: license)?" in name:
+        spellings = [name.replace("(?: license)?", " license"), name.replace("(?: license)?", "")]
+    else:
+        spellings = name[3:-1].split("|") if re.fullmatch(r"\(\?:[^()]+\)", name) else [name]
+    return "(?:" + "|".join(s + "(?: (?:license|licence))" + ("?" if "licen" in s else "") for s in spellings) + ")"
+
+
 def rules() -> list[Rule]:
     """All rules in order of priority: families by template, then bodies."""
     built = [
-        Rule(priority, label.removesuffix("-short"), needs, (*(f" {k}" for k in keywords.split("|")), f" {_plain(spdx)} "), template.format(n=name, i=spdx, e=f"(?:{name}|{spdx})"))
+        Rule(priority, label.removesuffix("-short"), needs, (*(f" {k}" for k in keywords.split("|")), f" {_plain(spdx)} "), template.format(l=_titled(name), i=spdx, e=f"(?:{name}|{spdx})"))
         for priority, needs, template in TEMPLATES
-        for label, keywords, name, spdx in FAMILIES
+        for label, keywords, name, spdx in ((a, b, _any_version(c), d) for a, b, c, d in FAMILIES)
     ]
     return sorted(built + BODIES, key=lambda r: r.priority)

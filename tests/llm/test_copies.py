@@ -303,5 +303,22 @@ def test_no_spelling_of_a_rule_is_hidden_by_the_prefilter(spark):
     assert [r["labels"] for r in found] == list(spellings.values()) and all(r["score"] > 0 for r in found)
 
 
+def test_names_that_hold_license_are_found_without_another(spark):
+    """Every spelling of such a name, plain, and versions written in one word with their v."""
+    plain = {
+        "see the Mozilla Public License 2.0": "mpl-2.0", "Eclipse Public License 2.0": "epl-2.0", "Eclipse Public License - v1.0": "epl-1.0",
+        "GNU Affero General Public License v3": "agpl-3.0", "Boost Software License": "bsl-1.0", "Apache License v2.0": "apache-2.0",
+        "GNU General Public License v2 or later": "gpl-2.0", "LaTeX Project Public License v1.3c": "lppl-1.3c", "The Unlicense": "unlicense",
+    }
+    named = [(label, text) for label, _, name, _ in license_rules.FAMILIES for text in expansions(name) if "licen" in text]
+    assert len({label for label, _ in named}) > 45
+    expected = [*((label, text) for text, label in plain.items()), *named]
+    found = license_scan.license_scan(docs(spark, [f"{text}, as written" for _, text in expected])).orderBy("doc_id").collect()
+    for (label, text), r in zip(expected, found, strict=True):
+        assert label in r["labels"].split(",") and r["score"] >= 0.5, (label, text, r["labels"])
+    none = license_scan.license_scan(docs(spark, ["the mit", "apache 2.0 or a license", "creative commons attribution"])).collect()
+    assert [r["labels"] for r in none] == ["", "", ""]
+
+
 def test_row_helper_matches_schema():
     assert len(row(1, "x")) == SCHEMA.count(",") + 1
