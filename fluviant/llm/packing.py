@@ -46,9 +46,10 @@ def _encoder(tokenizer_json: str, pattern: str):
 class Encoder:
     """Ids of whole texts as the tokenizer file gives them, as little-endian bytes.
 
-    Pre-tokens never go on after a space that a non-space follows, so a text can
-    be cut in front of each run of spaces and the ids of a part be kept. Added
-    tokens in a text are found first, as the library does."""
+    Only white space can come before a space within a pre-token, so a text can be
+    cut in front of each space that no white space precedes and the ids of a part
+    be kept; a run of mixed white space stays in one part. Added tokens in a text
+    are found first, as the library does."""
 
     def __init__(self, tokenizer_json: str, pattern: str):
         import re
@@ -61,14 +62,16 @@ class Encoder:
             raise ValueError("only plain added tokens are supported")
         self.added = {t["content"]: t["id"].to_bytes(4, "little") for t in given["added_tokens"]}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda t: [t]
-        self.parts = re.compile(" *[^ ]+| +").findall
+        # Python's white space holds all that the pattern's does.
+        self.runs_on = re.compile(r"\s ").search
+        self.parts = re.compile(r"\s*+\S++(?:[^\S ]\s*+\S*+)*+|\s+").findall
         self.encode_one = _encoder(tokenizer_json, pattern).encode_ordinary
         self.cache: dict[str, bytes] = {}
 
     def _parts(self, text: str) -> list[str]:
-        if "  " in text:
+        if self.runs_on(text):
             return self.parts(text)
-        # Single spaces only: a plain split, the space given back to the next part.
+        # No white space in front of a space: a plain split, the space given back to the next part.
         first, *rest = text.split(" ")
         out = [first] if first else []
         out += [" " + p for p in rest]
