@@ -126,12 +126,14 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width:
     placed = scratch(led.join(labels.withColumnRenamed("v", "x"), "x", "left").select(led.columns + [component]), "placed", settle=True)
     mixed = placed.groupBy("bucket").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi"), F.max(F.when(F.col("x") == F.col("y"), F.col("cx"))).alias("leader_c")).where("lo <> hi").select("bucket", "leader_c")
     open_rows = scratch(placed.where("x <> y").join(mixed, "bucket"), "open", settle=True)
-    open_ids = open_rows.select(F.col("x").alias("v")).distinct()
-    elements = sets.join(open_ids, "v", "left_semi").select("v", F.explode("elements").alias("e"))
-    own = elements.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v")).where("c = 1").groupBy(F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("own"))
+    # Leaders count as holders too: what x shares with its leader alone is inside and must not be its own.
+    holders = open_rows.select(F.col("x").alias("v"), F.col("dx").alias("d")).union(open_rows.select("y", "dy")).distinct()
+    elements = sets.join(holders, ["v", "d"], "left_semi").select("v", "d", F.explode("elements").alias("e"))
+    own = elements.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("v", "d")).alias("o")).where("c = 1")
+    own = own.groupBy(F.col("o.v").alias("x"), F.col("o.d").alias("dx")).agg(F.count(F.lit(1)).alias("own"))
     # x and y share at most min(A) of the leader's shingles and min(B) of the others that are not theirs alone.
     known = star.select("x", "dx", "y", "dy", F.col("common").alias("inside"))
-    rows = open_rows.join(known, ["x", "dx", "y", "dy"]).join(own, "x", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    rows = open_rows.join(known, ["x", "dx", "y", "dy"]).join(own, ["x", "dx"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
     rows = rows.withColumn("outside", F.greatest(F.col("nx") - F.col("inside") - F.col("own"), F.lit(0)))
     least = F.greatest(F.col("least_n"), F.ceil(F.col("nx") * percent / 100))
     rows = rows.where(_reaches(F.col("nx") - F.col("own"), F.col("nx") + least, percent))

@@ -117,6 +117,20 @@ def test_links_that_no_leader_sees_are_found(spark):
     assert found == brute_components(texts, ids, 85)
 
 
+def test_bound_holds_for_what_only_the_leader_shares(spark):
+    """x and y share 100 of 110 shingles; ten more x has in common with the leader only."""
+    hub = [f"l{k}" for k in range(105)]
+    out = [f"o{k}" for k in range(10)]
+    texts = [" ".join(t) for t in (hub, hub[:100] + out, hub[:90] + out, [f"z{k}" for k in range(10)])]
+    table = docs(spark, texts)
+    digest = {r["v"]: r["d"] for r in near_dup._sets(table, "doc_id", "text", 1).collect()}
+    # All three share one bucket, and the hub another with z, so it is the leader.
+    buckets = [[1, 2], [1, 11], [1, 12], [13, 2]]
+    reps = spark.createDataFrame([(i, digest[i], len(t.split()), b) for i, (t, b) in enumerate(zip(texts, buckets, strict=True))], "v long, d long, n long, bands array<long>")
+    good, _, more = near_dup._links(table, reps, "doc_id", "text", 1, 85)
+    assert [set(r) for r in good.collect()] == [{0, 1}] and [set(r) for r in more.collect()] == [{1, 2}]
+
+
 def test_near_with_null_and_repeated_ids(spark):
     text = prose(1, seed=3, words=60)[0]
     table = docs(spark, [text, text, text, text + " end", None, "other words"], [None, 4, 4, 2, 1, None])
