@@ -37,8 +37,9 @@ _SCRIPT_AT = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS], np.int6
 #: Hash buckets of character n-grams, and rows learnt from for each language.
 BUCKETS, ROWS_PER_LANG = 1 << 15, 2_000
 
-#: Languages learnt at most, the most frequent ones; it bounds the model.
-MOST_LANGS = 200
+#: Languages up to which workers use the full cache and chunks; with more both shrink
+#: in proportion, so that tables of words x languages stay of one size.
+FULL_LANGS = 16
 
 #: Cost of a switch, in natural-log units; score of a language whose script it is not.
 PENALTY, NOT_ITS_SCRIPT = 12.0, -40.0
@@ -86,6 +87,13 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-gram counts of (lang, text) rows; scripts are counted as negative buckets."""
+
+    def flush(by_lang: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, total in by_lang.items():
+            hit = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(hit), pa.string()), pa.array(hit.astype(np.int32)), pa.array(total[hit].astype(np.int64))], names=["lang", "bucket", "n"])
+        by_lang.clear()
+
     for batch in batches:
         by_lang: dict[str, np.ndarray] = {}
         at, langs = 0, batch.column(0).to_pylist()
@@ -101,35 +109,39 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     total = by_lang.setdefault(lang, np.zeros(BUCKETS + len(SCRIPT_NAMES)))
                     total[:BUCKETS] += np.bincount(bucket, n[owner], BUCKETS)
                     total[BUCKETS:] += np.bincount(script, n, len(SCRIPT_NAMES))
-        for lang, total in by_lang.items():
-            hit = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(hit), pa.string()), pa.array(hit.astype(np.int32)), pa.array(total[hit].astype(np.int64))], names=["lang", "bucket", "n"])
+                    if len(by_lang) > FULL_LANGS:
+                        yield from flush(by_lang)
+        yield from flush(by_lang)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, penalty: float = PENALTY, most_langs: int = MOST_LANGS) -> Model:
-    """Fit the n-gram model on about ``rows_per_lang`` rows of each of the ``most_langs``
-    most frequent languages.
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_lang: int = ROWS_PER_LANG, penalty: float = PENALTY) -> Model:
+    """Fit the n-gram model on about ``rows_per_lang`` rows of each language.
 
     Rows with a null id, text or language and held-out rows are never read. Which
     rows are sampled depends on the id's hash alone. Counting runs on the
-    executors; the driver gets a table of buckets x languages."""
+    executors; the driver gets a table of buckets x languages, 128 kB for each
+    language, and broadcasts it."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs)
-    sizes = {r[0]: r[1] for r in counted.collect()}
-    share = F.lit(0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1_000_000, int(1e6 * rows_per_lang / n) + 1)).otherwise(share)
-    sample = rows.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("id", F.lit(41)), F.lit(1_000_000)) < share))
+    # Joined, not a chain of conditions, which must not be as long as the list of languages.
+    share = F.least(F.lit(1_000_000), F.floor(F.lit(1e6 * rows_per_lang) / F.count(F.lit(1))) + 1)
+    shares = F.broadcast(rows.groupBy("lang").agg(share.alias("share")))
+    sample = rows.where(F.col("text").isNotNull()).join(shares, "lang").where(F.pmod(F.xxhash64("id", F.lit(41)), F.lit(1_000_000)) < F.col("share"))
     counted = sample.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    langs = tuple(sorted(set(counted.column("lang").to_pylist())))
-    counts = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(langs)))
-    if langs:
-        number = {lang: i for i, lang in enumerate(langs)}
-        counts[counted.column("bucket").to_numpy(), [number[x] for x in counted.column("lang").to_pylist()]] = counted.column("n").to_numpy()
-    grams, scripts = counts[:BUCKETS] + 0.5, counts[BUCKETS:]
-    log_p = np.log(grams / grams.sum(0, keepdims=True)).astype(np.float32)
+    coded = counted.column("lang").combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    langs = tuple(sorted(names))
+    code, bucket, n = coded.indices.to_numpy(), counted.column("bucket").to_numpy(), counted.column("n").to_numpy()
+    order = np.argsort(code, kind="stable")
+    ends = np.searchsorted(code[order], np.arange(len(names) + 1))
+    log_p, scripts = np.zeros((BUCKETS, len(langs)), np.float32), np.zeros((len(SCRIPT_NAMES), len(langs)))
+    for j, lang in enumerate(langs):  # one language at a time, so that only one is held in double precision
+        k = names.index(lang)
+        at, counts = order[ends[k] : ends[k + 1]], np.zeros(BUCKETS + len(SCRIPT_NAMES))
+        counts[bucket[at]] = n[at]
+        grams, scripts[:, j] = counts[:BUCKETS] + 0.5, counts[BUCKETS:]
+        log_p[:, j] = np.log(grams / grams.sum())
     log_p -= log_p.max(1, keepdims=True) if langs else 0
     uses = scripts > 0.01 * np.maximum(scripts.sum(0, keepdims=True), 1)
     return Model(langs, log_p, uses, penalty)
@@ -175,6 +187,10 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     return out
 
 
+def _scaled(size: int, model: Model) -> int:
+    return size * FULL_LANGS // max(FULL_LANGS, len(model.langs))
+
+
 class Labeller:
     def __init__(self, model: Model):
         self.model = model
@@ -201,7 +217,7 @@ class Labeller:
         words = [letters(t.lower()) for t in texts]
         if not m.langs:
             return [("und", 0.0, [])] * len(texts)
-        if len(self.row) > CACHE_ENTRIES:
+        if len(self.row) > _scaled(CACHE_ENTRIES, m):
             self.row, self.table = {}, self.table[:0]
         row = self.row
         new = list({w for ws in words for w in ws if w not in row})
@@ -264,7 +280,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         return do
 
     schema = "lang_pred string, score double" + ", spans array<struct<first:int,words:int,lang:string>>" * with_spans
-    found = map_texts(docs, id_col, text_col, schema, work, CHUNK_CHARS)
+    found = map_texts(docs, id_col, text_col, schema, work, _scaled(CHUNK_CHARS, model))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *found.columns[1:])
 
 
@@ -279,4 +295,4 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text_col:
         labeller = _labeller(shared.value)
         return lambda texts: [lang != "und" and share >= least for lang, share, _ in labeller.label(texts)]
 
-    return docs.where(text_udf("boolean", work, CHUNK_CHARS)(F.col(f"`{text_col}`")))
+    return docs.where(text_udf("boolean", work, _scaled(CHUNK_CHARS, model))(F.col(f"`{text_col}`")))

@@ -34,6 +34,17 @@ def test_languages_are_learnt_and_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than two hundred, the last ones rare."""
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(230)]
+    rows = [(f"{name}q{name}z ", name) for k, name in enumerate(names) for _ in range(8 if k < 200 else 6)]
+    table = spark.createDataFrame([row(i, text * 20, name) for i, (text, name) in enumerate(rows)], SCHEMA)
+    model = langid.learn(table)
+    assert model.langs == tuple(names)
+    found = langid.identify(table, model).join(table.select("doc_id", F.col("lang").alias("truth")), "doc_id").collect()
+    assert len(found) == len(rows) and np.mean([r["lang_pred"] == r["truth"] for r in found]) > 0.98
+
+
 def test_held_out_labels_are_not_read(spark):
     table = language_table(spark)
     odd = table.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit("zz")).otherwise(F.col("lang")))
