@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import _sp_model
+from ._classes import Split, library_split, splitter
 from ._common import resident
 
 #: Pre-tokens kept with their ids, in each Python worker; then the table starts anew.
@@ -54,12 +55,11 @@ def build_model(tokens: list[bytes]) -> bytes:
 class Codec:
     """Encodes and decodes with one model; ids travel as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, model: bytes, pattern: str):
-        import regex
+    def __init__(self, model: bytes, split: Split):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.findall = regex.compile(pattern).findall
+        self.pre_tokens = splitter(split)
         alphabet = byte_alphabet()
         self.to_chars = dict(enumerate(alphabet))
         byte_of = {ord(c): b for b, c in enumerate(alphabet)}
@@ -83,7 +83,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
-        split = [self.findall(t) for t in texts]
+        split = [self.pre_tokens(t) for t in texts]
         new = {t for pre_tokens in split for t in pre_tokens if t not in cache}
         if new:
             self._learn(new)
@@ -96,8 +96,8 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def codec(model: bytes, pattern: str) -> Codec:
-    return resident(("codec", model, pattern), lambda: Codec(model, pattern))
+def codec(model: bytes, split: Split) -> Codec:
+    return resident(("codec", model, split), lambda: Codec(model, split))
 
 
 def chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -152,11 +152,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     The whole text is encoded, then its ids are decoded. A null text is the empty
     text: no tokens and the hash of no bytes. Other columns are ignored; repeated
     rows repeat; an empty table gives an empty result. The model is sent to the
-    executors once; its size is that of the vocabulary."""
-    model = docs.sparkSession.sparkContext.broadcast(build_model(read_ranks(ranks_path)))
+    executors once; its size is that of the vocabulary. Pre-tokens are split by the
+    character classes of the library whose ids are wanted (see ``_classes``)."""
+    shared = docs.sparkSession.sparkContext.broadcast((build_model(read_ranks(ranks_path)), library_split(pattern)))
 
     def work():
-        own = codec(model.value, pattern)
+        own = codec(*shared.value)
 
         def do(texts: list[str]) -> dict:
             encoded = own.encode(texts)

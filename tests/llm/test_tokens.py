@@ -1,6 +1,7 @@
 """Byte-level BPE, token counts and packing against the public libraries."""
 
 import hashlib
+import itertools
 import struct
 import zlib
 
@@ -13,6 +14,7 @@ from frames import ODD, docs, empty, fuzz, prose
 from tokenizers import Tokenizer
 
 from fluviant.llm import byte_bpe, packing, token_counts
+from fluviant.llm._classes import library_split, splitter
 
 RANKS, PIECES, JSON = (public_tokenizers.path(n) for n in ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_50k.json"))
 PATTERN = public_tokenizers.PATTERN
@@ -34,7 +36,7 @@ def pack_ids(ids):
 
 
 def test_every_token_encodes_as_itself(tokens):
-    codec = byte_bpe.Codec(byte_bpe.build_model(tokens), PATTERN)
+    codec = byte_bpe.Codec(byte_bpe.build_model(tokens), library_split(PATTERN))
     alphabet = byte_bpe.byte_alphabet()
     assert len(set(alphabet)) == 256
     assert codec.sp.encode(["".join(alphabet[b] for b in t) for t in tokens]) == [[i] for i in range(len(tokens))]
@@ -53,11 +55,33 @@ def test_encoding_is_the_librarys_and_decodes_to_the_text(spark, library):
 
 def test_cache_overflow_changes_nothing(tokens, library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHE_ENTRIES", 3)
-    codec = byte_bpe.Codec(byte_bpe.build_model(tokens), PATTERN)
+    codec = byte_bpe.Codec(byte_bpe.build_model(tokens), library_split(PATTERN))
     for t in prose(10):
         assert codec.encode([t]) == [pack_ids(library.encode_ordinary(t))]
 
 
+def every_code_point(size=4000):
+    """Texts that hold each code point alone, beside a letter, a digit, a space and itself."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), size):
+        yield "".join(f"a{c}1{c} {c}{c}\n{c}" for c in points[at : at + size])
+
+
+def test_every_code_point_is_split_and_encoded_as_by_the_library(tokens, library):
+    codec = byte_bpe.Codec(byte_bpe.build_model(tokens), library_split(PATTERN))
+    for text in every_code_point():
+        ids = codec.encode([text])[0]
+        assert ids == pack_ids(library.encode_ordinary(text))
+        assert codec.decode(ids) == text.encode()
+
+
+def test_classes_spelled_out_split_alike_and_plain_ones_do_where_engines_agree():
+    split = library_split(PATTERN)
+    plain, exact = splitter(split._replace(differ="")), splitter(split._replace(plain=split.exact, differ=""))
+    assert all(plain(t) == exact(t) for t in [*prose(20), *(t for t in ODD if t)])
+    assert library_split("a+|[^a]").differ == "" and splitter(library_split("a+|[^a]"))("aab") == ["aa", "b"]
+
+
 def test_chunks_keep_order_and_long_texts():
     assert list(byte_bpe.chunks(["a", None, "b" * 10, "c"], 3)) == [["a", ""], ["b" * 10], ["c"]]
 
@@ -162,3 +186,16 @@ def test_empty_tables_and_repeated_rows(spark):
     assert byte_bpe.encode_documents(twice, RANKS, PATTERN).count() == 3
     assert token_counts.count_tokens(twice, PIECES).count() == 3
     assert packing.pack_documents(twice, JSON, PATTERN).count() == 3
+
+
+def test_packing_takes_the_ids_of_the_library_for_every_code_point_and_all_short_white_space():
+    own, library = packing.Encoder(open(JSON, encoding="utf-8").read(), PATTERN), Tokenizer.from_file(JSON)
+    texts = [*every_code_point(20_000), *("".join(t) for n in range(1, 7) for t in itertools.product(" \n\t\xa0\u3000a", repeat=n))]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids == pack_ids(library.encode(text, add_special_tokens=False).ids), repr(text[:50])
+
+
+def test_counts_of_every_code_point_are_the_librarys():
+    sp, own = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.Counter(token_counts.prove(PIECES))
+    for text in every_code_point(20_000):
+        assert own.count([text]) == [len(sp.encode(text))]
