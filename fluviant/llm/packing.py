@@ -2,11 +2,15 @@
 
 Documents become pieces of at most one sequence. A full piece is a sequence. All
 others are dealt to tasks of a fixed number of items; each task packs its items
-best-fit, longest first, and emits the nearly full bins. The few emptiest bins
-go on as items to the next round, in which one task takes those of several tasks,
-until one task is left. After a best-fit pass no two bins of a task fit together,
-so at most one of them is half empty or less, and only such bins can still join
-others: what is carried stays a small multiple of the number of tasks.
+best-fit, longest first, and emits the nearly full bins. The underfull ones go on
+as items to the next round, in which one task takes those of several tasks, until
+one task is left.
+
+What goes on is bounded without loss. After a best-fit pass no two bins of a task
+fit together, so at most one is half full or less, and each join of a later round
+uses up one such bin. A round joins at most ``fan_in`` of them, with as many others.
+So of bins that are equally full a task need hand on no more than ``fan_in`` for
+each round to come; further ones would come out of the last round as they went in.
 """
 
 from __future__ import annotations
@@ -30,8 +34,8 @@ from .byte_bpe import byte_alphabet, chunks
 #: Strings kept with their ids in each Python worker.
 CACHE_ENTRIES = 250_000
 
-#: Items of one packing task, tasks merged into one, bins a task hands on at most.
-ITEMS_PER_TASK, FAN_IN, CARRY = 50_000, 8, 64
+#: Items of one packing task, tasks merged into one.
+ITEMS_PER_TASK, FAN_IN = 50_000, 8
 
 
 def _encoder(tokenizer_json: str, pattern: str):
@@ -165,9 +169,19 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], lis
     return where, offset, fill
 
 
-def _round(items: DataFrame, number: int, capacity: int, nearly_full: int, carry: int, last: bool) -> DataFrame:
+def goes_on(fill: np.ndarray, nearly_full: int, copies: int) -> np.ndarray:
+    """Which bins a later round can use: the underfull ones, of equally full ones ``copies``."""
+    order = np.argsort(fill, kind="stable")
+    ranked = fill[order]
+    place = np.empty(len(fill), np.int64)
+    place[order] = np.arange(len(fill)) - np.searchsorted(ranked, ranked, "left")
+    return (fill < nearly_full) & (place < copies)
+
+
+def _round(items: DataFrame, number: int, capacity: int, nearly_full: int, copies: int) -> DataFrame:
     """One best-fit pass in each task over ``items``, whose rows with one
-    ``sequence_id`` are already one item; ``done`` marks the bins that are emitted."""
+    ``sequence_id`` are already one item; ``done`` marks the bins that are emitted.
+    In the last round ``copies`` is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -179,10 +193,7 @@ def _round(items: DataFrame, number: int, capacity: int, nearly_full: int, carry
         unique, item = np.unique(ids, return_inverse=True)
         sizes = np.bincount(item, weights=lengths).astype(np.int64)
         where, base, fill = (np.asarray(x, np.int64) for x in best_fit(sizes.tolist(), capacity))
-        done = np.ones(len(fill), bool)
-        if not last:
-            open_bins = np.flatnonzero(fill < nearly_full)
-            done[open_bins[np.argsort(fill[open_bins], kind="stable")][:carry]] = False
+        done = ~goes_on(fill, nearly_full, copies)
         bins = where[item]
         columns = {
             "sequence_id": pa.array((number << 56) + (task << 32) + bins, pa.int64()),
@@ -197,7 +208,7 @@ def _round(items: DataFrame, number: int, capacity: int, nearly_full: int, carry
     return items.mapInArrow(run, items.schema)
 
 
-def pack(pieces: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK, fan_in: int = FAN_IN, carry: int = CARRY, nearly_full: float = 0.99) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK, fan_in: int = FAN_IN, nearly_full: float = 0.99) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; ``pieces`` must be a written table.
 
     Tasks of the first round take ``items_per_task`` items each, whatever the
@@ -209,13 +220,16 @@ def pack(pieces: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK,
     tasks = max(1, math.ceil(items.count() / items_per_task))
     items = items.select("*", number.alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("task"), F.lit(False).alias("done"))
     items = items.repartition(tasks)
+    to_come, left = 0, tasks
+    while left > 1:
+        left, to_come = math.ceil(left / fan_in), to_come + 1
     out, k = full, 1
     while True:
-        packed = scratch(_round(items, k, capacity, int(capacity * nearly_full), carry, tasks == 1), f"pack-{k}")
+        packed = scratch(_round(items, k, capacity, int(capacity * nearly_full), fan_in * to_come), f"pack-{k}")
         out = out.unionAll(packed.where("done").select(*columns))
         if tasks == 1:
             return out
-        tasks, k = max(1, math.ceil(tasks / fan_in)), k + 1
+        tasks, to_come, k = math.ceil(tasks / fan_in), to_come - 1, k + 1
         rest = packed.where("not done")
         items = rest.repartition(tasks, F.floor(F.col("task") / fan_in)) if tasks > 1 else rest.coalesce(1)
 

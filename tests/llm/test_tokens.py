@@ -188,6 +188,35 @@ def test_empty_tables_and_repeated_rows(spark):
     assert packing.pack_documents(twice, JSON, PATTERN).count() == 3
 
 
+@pytest.mark.parametrize("least, most", [(40, 70), (1, 100), (51, 60), (90, 98)])
+def test_what_goes_on_packs_as_tight_as_if_every_underfull_bin_went_on(least, most):
+    """The rounds without Spark: 64 tasks, merged by fours."""
+    rng = np.random.default_rng(least)
+    dealt = [rng.integers(least, most + 1, 60).tolist() for _ in range(64)]
+
+    def bins(copies_a_round):
+        emitted, tasks, to_come = 0, dealt, 3
+        while True:
+            handed = []
+            for sizes in tasks:
+                fill = np.asarray(packing.best_fit(sizes, 100)[2])
+                on = packing.goes_on(fill, 99, copies_a_round * to_come)
+                emitted += int((~on).sum())
+                handed.append(fill[on].tolist())
+            if len(tasks) == 1:
+                return emitted
+            tasks, to_come = [sum(handed[i : i + 4], []) for i in range(0, len(handed), 4)], to_come - 1
+
+    assert bins(4) == bins(10**6)
+
+
+def test_equal_bins_that_cannot_join_do_not_pile_up():
+    fill = np.full(50_000, 60)
+    assert packing.goes_on(fill, 99, 24).sum() == 24
+    assert packing.goes_on(fill, 99, 0).sum() == 0 and not packing.goes_on(np.array([99, 100]), 99, 24).any()
+    assert packing.goes_on(np.array([], np.int64), 99, 24).tolist() == []
+
+
 def test_packing_takes_the_ids_of_the_library_for_every_code_point_and_all_short_white_space():
     own, library = packing.Encoder(open(JSON, encoding="utf-8").read(), PATTERN), Tokenizer.from_file(JSON)
     texts = [*every_code_point(20_000), *("".join(t) for n in range(1, 7) for t in itertools.product(" \n\t\xa0\u3000a", repeat=n))]
