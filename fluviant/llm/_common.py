@@ -65,5 +65,26 @@ def split_by_bitmap(df: DataFrame, hashed: Column, bitmap: DataFrame, bits: int)
     return joined.where(is_in).select(*_quoted(df)), joined.where(~is_in).select(*_quoted(df))
 
 
+#: Rows with one key up to which they may share a task, whatever the number of rows.
+FEW_ROWS = 256
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: str | tuple[str, ...], size_col: str, total: int, how: str) -> DataFrame:
+    """``rows`` joined with ``table``, a written table with one row for each key.
+
+    ``size_col`` of ``table`` says how many of the ``total`` rows have the key. Keys of
+    more than a 2,000th of all rows are at most 2,000 in number: those are broadcast,
+    and their rows stay where they are. The others are joined by a shuffle, in which
+    no key is large. ``how`` is ``inner`` or ``left``. Null keys match nothing."""
+    names = [keys] if isinstance(keys, str) else list(keys)
+    most = max(FEW_ROWS, total // 2_000)
+    hot = table.where(F.col(size_col) > most)
+    if hot.isEmpty():
+        return rows.join(table, names, how)
+    large = rows.join(F.broadcast(hot), names)
+    rest = rows.join(F.broadcast(hot.select(*names)), names, "left_anti")
+    return large.unionByName(rest.join(table.where(F.col(size_col) <= most), names, how))
+
+
 def _quoted(df: DataFrame) -> list[str]:
     return [f"`{c}`" for c in df.columns]

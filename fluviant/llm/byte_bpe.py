@@ -136,11 +136,12 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Ca
 
 def text_udf(kind: str, work: Callable[[], Callable[[list[str]], list]], most: int = CHUNK_CHARS):
     """A vectorised function of a text column; null reaches ``work()`` as empty."""
+    of_kind = {"boolean": pa.bool_(), "long": pa.int64()}[kind]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         do = work()
         for batch in batches:
-            yield pa.array([x for part in chunks(batch.to_pylist(), most) for x in do(part)])
+            yield pa.array([x for part in chunks(batch.to_pylist(), most) for x in do(part)], of_kind)
 
     return F.arrow_udf(run, kind)
 

@@ -1,17 +1,23 @@
 """Near duplicates: SuperMinHash, banding, exact verification, union-find.
 
 1. One scan gives each text its set size, a 128-bit digest of its shingle set and
-   the hashes of its signature bands. Texts with equal sets form a class, and
-   only the class's smallest id goes on.
+   the hashes of its signature bands. Texts with equal sets form a class, and only
+   classes go on.
 2. A band bucket with two classes or more names candidates. Its leader is the
    class that shares most buckets with others, the hub of a group of copies;
    every member is compared with its leader on the full sets. That is one
-   comparison for each member, however large the bucket.
-3. Union-find joins the verified links. Two members of a bucket in different
-   components may still be linked. What the leader comparison and a count of
-   shingles that nobody else has say about a pair bounds its common shingles from
-   above; pairs whose bound reaches the threshold are compared as well. Thus each
-   pair that shares a bucket is linked, in one component, or proven apart.
+   comparison for each member, however large the bucket. Union-find joins the links.
+3. Two members of a bucket in different components may still be linked. They are
+   found by their rarest shingles: in any order of all shingles, two sets that
+   reach the threshold have their first common shingle within a short prefix of
+   both. Shingles that occur in one component only come first, so texts that share
+   a template but have words of their own have nothing in their prefix to meet by.
+   Where prefixes meet, the positions bound the common shingles; pairs whose bound
+   reaches the threshold are compared on the full sets.
+
+Thus of the pairs that share a bucket each is linked, in one component, compared, or
+proven apart. What is joined by a key that many rows share is joined by ``lookup`` or
+in salted blocks, so no key, however frequent, is the work of one task.
 """
 
 from __future__ import annotations
@@ -25,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch, ship_package
-from ._common import TMP, bitmap_of, bitmap_size, resident, split_by_bitmap
+from ._common import TMP, bitmap_of, bitmap_size, lookup, resident, split_by_bitmap
+from .byte_bpe import text_udf
 from .components import components
 from .superminhash import Shingler, band_hashes, super_min_hash
 
@@ -33,6 +40,10 @@ from .superminhash import Shingler, band_hashes, super_min_hash
 #: times, a pair at 0.85 once in 50 million times.
 BANDS, ROWS = 24, 4
 
+#: Pairs with one set, or rows with one shingle, that a task takes on at once.
+BLOCK = 2_000
+
+
 def _shingler(width: int) -> Shingler:
     return resident(("shingler", width), lambda: Shingler(width))
 
@@ -67,7 +78,7 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, width: int, bands: in
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Rows ``v, d, elements``: the full shingle set of each text."""
+    """Rows ``v, d, elements``: the full shingle set of each text; a null id as 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = _shingler(width)
@@ -80,7 +91,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                     names=["v", "d", "elements"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "v long, d long, elements array<long>")
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "v long, d long, elements array<long>")
 
 
 def _reaches(common: Column, n: Column, percent: int) -> Column:
@@ -88,72 +99,141 @@ def _reaches(common: Column, n: Column, percent: int) -> Column:
     return (100 + percent) * common >= percent * n
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (``x, dx, y, dy`` and more) with ``common``, the size of the intersection."""
-    left = sets.select(F.col("v").alias("x"), F.col("d").alias("dx"), F.col("elements").alias("ex"))
-    right = sets.select(F.col("v").alias("y"), F.col("d").alias("dy"), F.col("elements").alias("ey"))
-    joined = pairs.join(left, ["x", "dx"]).join(right, ["y", "dy"])
-    return joined.select(*pairs.columns, F.size(F.array_intersect("ex", "ey")).cast("long").alias("common"))
+def _salted(pairs: DataFrame, sets: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+    """(``pairs`` with a column ``salt_`` + side, ``sets`` as ``v, d, salt, elements`` to join it with).
+
+    A class in very many pairs, such as the leader of a large bucket, would draw all of
+    them into one task. Its pairs are dealt over as many copies of its set as there are
+    blocks of pairs; all other classes have the salt 0."""
+    salt = "salt_" + side
+    degree = pairs.groupBy(*[F.col(f"{side}.{c}").alias("hub_" + c) for c in "kvd"]).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > BLOCK)
+    many = scratch(degree.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")), "hubs", settle=True)
+    plain = F.lit(0).cast("long")
+    if many.isEmpty():
+        return pairs.withColumn(salt, plain), sets.select("v", "d", plain.alias("salt"), "elements")
+    copies = many.select(F.col("hub_v").alias("v"), F.col("hub_d").alias("d"), F.sequence(plain, F.col("blocks").cast("long") - 1).alias("salts"))
+    copied = sets.join(copies, ["v", "d"], "left").select("v", "d", F.explode(F.coalesce("salts", F.array(plain))).alias("salt"), "elements")
+    dealt = lookup(pairs.withColumn("hub_k", F.col(f"{side}.k")), many.select("hub_k", "m", "blocks"), "hub_k", "m", pairs.count(), "left")
+    dealt = dealt.withColumn(salt, F.pmod(F.xxhash64("x.k", "y.k"), F.coalesce("blocks", F.lit(1))))
+    return dealt.drop("hub_k", "m", "blocks"), copied
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """``a, b`` (class numbers) of the ``pairs`` of classes (``x``, ``y``) that reach the
+    threshold on the full sets. Pairs whose sizes rule it out are not compared."""
+    n = F.col("x.n") + F.col("y.n")
+    pairs = scratch(pairs.where(_reaches(F.least("x.n", "y.n"), n, percent)), name, settle=True)
+    dealt, left = _salted(pairs, sets, "x")
+    dealt, right = _salted(dealt, sets, "y")
+    left, right = (df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns]) for side, df in (("left", left), ("right", right)))
+
+    def own(side: str, of: str) -> Column:
+        return (F.col(f"{of}.v") == F.col(f"{side}_v")) & (F.col(f"{of}.d") == F.col(f"{side}_d")) & (F.col(f"salt_{of}") == F.col(f"{side}_salt"))
+
+    both = dealt.join(left, own("left", "x")).join(right, own("right", "y"))
+    common = F.size(F.array_intersect("left_elements", "right_elements")).cast("long")
+    return scratch(both.where(_reaches(common, n, percent)).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")), name + "-links", settle=True)
+
+
+def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(``c, bucket, members`` of each class in a bucket with others, ``bucket, members``, rows).
+
+    Most buckets hold one class; a bit map of the others keeps theirs off the shuffle."""
+    posted = classes.select(F.struct("k", "v", "d", "n").alias("c"), F.explode("bands").alias("bucket"))
+    shared = scratch(posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets", settle=True)
+    found, total = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("members"), F.lit(0))).first()
+    bits = bitmap_size(found)
+    maybe, _ = split_by_bitmap(posted, F.col("bucket"), bitmap_of(shared, F.col("bucket"), bits), bits)
+    return scratch(lookup(maybe, shared, "bucket", "members", total, "inner"), "postings", settle=True), shared, total
+
 
+def _prefix_pairs(sets: DataFrame, open_classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``x``, ``y``) of ``open_classes`` (``c, root``) with different roots whose
+    prefixes meet and whose positions there leave the threshold within reach."""
+    key = (F.col("v") == F.col("c.v")) & (F.col("d") == F.col("c.d"))
+    held = scratch(sets.join(open_classes, key).select("c", "root", "elements"), "open-sets").select("c", "root", F.explode("elements").alias("e"))
+    spread = held.groupBy("e").agg(F.count(F.lit(1)).alias("times"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("e", "times")
+    spread = scratch(spread, "spread-shingles", settle=True)
+    kinds, total = spread.agg(F.count(F.lit(1)), F.coalesce(F.sum("times"), F.lit(0))).first()
+    bits = bitmap_size(kinds)
+    maybe, _ = split_by_bitmap(held, F.col("e"), bitmap_of(spread, F.col("e"), bits), bits)
+    met = lookup(maybe, spread, "e", "times", total, "inner")
+    # Shingles of one component only come first in the order; they take places, but never meet.
+    ordered = met.groupBy("c", "root").agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("es"))
+    alone = F.col("c.n") - F.size("es")
+    prefix = F.col("c.n") - F.floor((F.col("c.n") * percent + 99) / 100) + 1
+    ordered = ordered.withColumns({"alone": alone, "takes": (prefix - alone).cast("int")}).where("takes > 0")
+    places = ordered.select("c", "root", "alone", F.posexplode(F.slice("es", F.lit(1), F.col("takes"))).alias("i", "s"))
+    places = scratch(places.select("c", "root", F.col("s.e").alias("e"), (F.col("alone") + F.col("i")).alias("at")), "prefixes")
+    lists = places.groupBy("e").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("e", "m")
+    lists = scratch(lists, "prefix-lists", settle=True)
+    rows = lists.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    listed = scratch(lookup(places, lists, "e", "m", rows, "inner"), "listed", settle=True)
+    # A long list is met block by block: each row once on the left, once for each block on the right.
+    blocks = F.ceil(F.col("m") / BLOCK).cast("long")
+    left = listed.select(F.col("c").alias("x"), F.col("root").alias("rx"), F.col("at").alias("ax"), "e", F.pmod(F.xxhash64("c.k"), blocks).alias("salt"))
+    right = listed.select(F.col("c").alias("y"), F.col("root").alias("ry"), F.col("at").alias("ay"), "e", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("salt"))
+    n = F.col("x.n") + F.col("y.n")
+    bound = F.least(F.col("x.n") - F.col("ax"), F.col("y.n") - F.col("ay"))
+    met = left.join(right, ["e", "salt"]).where((F.col("rx") != F.col("ry")) & (F.col("x.k") < F.col("y.k")) & _reaches(bound, n, percent))
+    return met.select("x", "y").distinct()
 
-def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """For ``reps`` (``v, d, n, bands``): links with leaders (``a, b``), the labels
-    (``v, root``) they give, and the further links between those components."""
-    posted = reps.select("v", "d", "n", F.posexplode("bands").alias("band", "bucket"))
-    shared = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    postings = scratch(posted.join(shared, "bucket"), "postings", settle=True)
+
+def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (``a, b``) among ``classes`` (``k, v, d, n, bands``): those with leaders, and
+    those found among the members of buckets that then still held two components."""
+    postings, buckets, total = _postings(classes)
     # The leader of a bucket: the class with most neighbours over all its buckets.
-    central = postings.groupBy("v").agg(F.sum(F.col("members") - 1).alias("neighbours"))
-    leaders = (
-        postings.join(central, "v")
-        .groupBy("bucket")
-        .agg(F.max(F.struct("neighbours", (-F.col("v")).alias("minus_v"), "d", "n")).alias("l"), F.min("n").alias("least_n"))
-        .select("bucket", (-F.col("l.minus_v")).alias("y"), F.col("l.d").alias("dy"), F.col("l.n").alias("ny"), "least_n")
-    )
-    led = scratch(postings.select("bucket", "band", F.col("v").alias("x"), F.col("d").alias("dx"), F.col("n").alias("nx")).join(leaders, "bucket"), "led", settle=True)
+    central = postings.groupBy(F.col("c.k").alias("k")).agg(F.sum(F.col("members") - 1).alias("neighbours"))
+    ranked = postings.join(central, F.col("c.k") == F.col("k"))
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("neighbours", (-F.col("k")).alias("minus_k"), "c"))["c"].alias("leader"), F.count(F.lit(1)).alias("members"))
+    leaders = scratch(leaders, "leaders", settle=True)
+    led = scratch(lookup(postings.drop("members"), leaders, "bucket", "members", total, "inner").drop("members"), "led", settle=True)
     # Full sets of the candidates only; a bit map of fixed size picks them in the scan.
-    wanted = scratch(postings.select("v").distinct(), "candidates", settle=True)
+    wanted = scratch(postings.select(F.col("c.v").alias("v")).distinct(), "candidates", settle=True)
     bits = bitmap_size(wanted.count())
-    maybe, _ = split_by_bitmap(docs.select(F.col(f"`{id_col}`").alias(TMP + "id"), F.col(f"`{text_col}`").alias(TMP + "text")), F.xxhash64(F.col(TMP + "id").cast("long")), bitmap_of(wanted, F.xxhash64("v"), bits), bits)
+    maybe, _ = split_by_bitmap(docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias(TMP + "id"), F.col(f"`{text_col}`").alias(TMP + "text")), F.xxhash64(TMP + "id"), bitmap_of(wanted, F.xxhash64("v"), bits), bits)
     sets = scratch(_sets(maybe, TMP + "id", TMP + "text", width), "sets")
-    star = led.where("x <> y").select("x", "dx", "nx", "y", "dy", "ny").distinct()
-    star = scratch(_compare(star, sets), "star", settle=True)
-    good = star.where(_reaches(F.col("common"), F.col("nx") + F.col("ny"), percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    good = scratch(good, "links", settle=True)
-    labels = scratch(components(good), "labels", settle=True)
-    # Buckets that still hold two components, and what bounds a pair of their members.
-    component = F.coalesce("root", "x").alias("cx")
-    placed = scratch(led.join(labels.withColumnRenamed("v", "x"), "x", "left").select(led.columns + [component]), "placed", settle=True)
-    mixed = placed.groupBy("bucket").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi"), F.max(F.when(F.col("x") == F.col("y"), F.col("cx"))).alias("leader_c")).where("lo <> hi").select("bucket", "leader_c")
-    open_rows = scratch(placed.where("x <> y").join(mixed, "bucket"), "open", settle=True)
-    # Leaders count as holders too: what x shares with its leader alone is inside and must not be its own.
-    holders = open_rows.select(F.col("x").alias("v"), F.col("dx").alias("d")).union(open_rows.select("y", "dy")).distinct()
-    elements = sets.join(holders, ["v", "d"], "left_semi").select("v", "d", F.explode("elements").alias("e"))
-    own = elements.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("v", "d")).alias("o")).where("c = 1")
-    own = own.groupBy(F.col("o.v").alias("x"), F.col("o.d").alias("dx")).agg(F.count(F.lit(1)).alias("own"))
-    # x and y share at most min(A) of the leader's shingles and min(B) of the others that are not theirs alone.
-    known = star.select("x", "dx", "y", "dy", F.col("common").alias("inside"))
-    rows = open_rows.join(known, ["x", "dx", "y", "dy"]).join(own, ["x", "dx"], "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    rows = rows.withColumn("outside", F.greatest(F.col("nx") - F.col("inside") - F.col("own"), F.lit(0)))
-    least = F.greatest(F.col("least_n"), F.ceil(F.col("nx") * percent / 100))
-    rows = rows.where(_reaches(F.col("nx") - F.col("own"), F.col("nx") + least, percent))
-    rows = rows.join(reps.select(F.col("v").alias("x"), F.col("d").alias("dx"), F.col("bands")), ["x", "dx"])
-    rows = scratch(rows.select("bucket", "band", "x", "dx", "nx", "cx", "inside", "outside", "bands", (F.col("cx") != F.col("leader_c")).alias("apart")), "bounded", settle=True)
-    one = rows.where("apart").alias("p")
-    two = rows.alias("q")
-    may = (
-        (F.col("p.bucket") == F.col("q.bucket"))
-        & (F.col("p.cx") != F.col("q.cx"))
-        & (~F.col("q.apart") | (F.col("p.x") < F.col("q.x")))
-        & _reaches(F.least("p.inside", "q.inside") + F.least("p.outside", "q.outside"), F.col("p.nx") + F.col("q.nx"), percent)
-        # a pair is compared in the first bucket it shares
-        & (F.array_position(F.zip_with("p.bands", "q.bands", lambda a, b: a == b), True) == F.col("p.band") + 1)
-    )
-    rest = one.join(two, may).select(F.col("p.x").alias("x"), F.col("p.dx").alias("dx"), F.col("p.nx").alias("nx"), F.col("q.x").alias("y"), F.col("q.dx").alias("dy"), F.col("q.nx").alias("ny"))
-    rest = scratch(rest, "rest", settle=True)
-    more = _compare(rest, sets).where(_reaches(F.col("common"), F.col("nx") + F.col("ny"), percent))
-    more = scratch(more.select(F.col("x").alias("a"), F.col("y").alias("b")), "more", settle=True)
-    return good, labels, more
+    if sets.count() > sets.select("v", "d").distinct().count():  # rows that repeat both id and text
+        sets = scratch(sets.dropDuplicates(["v", "d"]), "distinct-sets")
+    star = _linked(led.where("c.k <> leader.k").select(F.col("c").alias("x"), F.col("leader").alias("y")).distinct(), sets, percent, "star")
+    labels = scratch(components(star), "labels", settle=True)
+    # Buckets that still hold two components, and their members but the leader.
+    placed = led.join(labels.withColumnRenamed("v", "lk"), F.col("c.k") == F.col("lk"), "left").select("bucket", "c", "leader", F.coalesce("root", "c.k").alias("root"))
+    placed = scratch(placed, "placed", settle=True)
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi and members > 2").select("bucket", "members")
+    mixed = scratch(mixed, "mixed", settle=True)
+    if mixed.isEmpty():
+        return star, star.limit(0)
+    still_open = lookup(placed.where("c.k <> leader.k").select("bucket", "c", "root"), mixed, "bucket", "members", total, "inner").select("c", "root").distinct()
+    still_open = scratch(still_open, "open", settle=True)
+    return star, _linked(_prefix_pairs(sets, still_open, percent), sets, percent, "met")
+
+
+def _sketched(docs: DataFrame, percent: int, width: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of ``docs``: ``id, n, d1, component_id, first``; ``first`` marks the
+    rows of the text that a component keeps."""
+    ship_package(docs.sparkSession)
+    sketches = scratch(_sketches(docs, id_col, text_col, width, bands, rows), "sketches")
+    grouped = sketches.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("n", "bands")).alias("s"))
+    classes = scratch(grouped.select(F.monotonically_increasing_id().alias("k"), "d1", "d2", "id", "copies", "s.n", "s.bands"), "classes")
+    links, more = _links(docs, classes.select("k", F.coalesce("id", F.lit(0)).alias("v"), F.col("d1").alias("d"), "n", "bands"), id_col, text_col, width, percent)
+    if not more.isEmpty():
+        links = scratch(links.unionAll(more), "all-links", settle=True)
+    labels = scratch(components(links), "components", settle=True)
+    # A component goes by its smallest id, a null id last; of several texts with that id the smallest digest stays.
+    light = classes.select("k", "d1", "d2", "id", "copies")
+    parts = labels.select(F.col("v").alias("k"), "root").unionAll(labels.select(F.col("root").alias("k"), "root").distinct()).join(light, "k")
+    parts = scratch(parts, "parts", settle=True)
+    heads = parts.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "d1", "d2", "k")).alias("head"), F.count(F.lit(1)).alias("texts"))
+    heads = scratch(heads, "heads", settle=True)
+    named = lookup(parts.select("k", "root"), heads, "root", "texts", parts.count(), "inner").select("k", F.col("head.id").alias("component"), (F.col("k") == F.col("head.k")).alias("first"))
+    of_class = light.join(scratch(named, "named", settle=True), "k", "left")
+    of_class = scratch(of_class.select("d1", "d2", "copies", F.coalesce("component", "id").alias("component"), F.coalesce("first", F.lit(True)).alias("first")), "class-components", settle=True)
+    found = sketches.where("n > 0").select("id", "n", "d1", "d2")
+    found = lookup(found, of_class, ("d1", "d2"), "copies", sketches.count(), "inner")
+    found = found.select("id", "n", "d1", F.col("component").alias("component_id"), (F.col("first") & F.col("id").eqNullSafe(F.col("component"))).alias("first"))
+    return found.unionAll(sketches.where("n = 0").select("id", "n", "d1", F.col("id").alias("component_id"), F.lit(True).alias("first")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,38 +245,38 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: i
       empty set and is linked with nothing.
     * Texts are linked at a Jaccard similarity of ``percent`` / 100 or more of the
       full sets. ``component_id`` is the smallest id that can be reached;
-      ``kept`` is ``doc_id <=> component_id``.
-    * A null id is the smallest of no component, unless all ids of the texts with
-      its set are null; then it is on its own. Rows that repeat an id and text get
-      the same row each. Other columns are ignored; an empty table gives an empty
+      ``kept`` is ``doc_id <=> component_id``. Ids are taken as whole numbers.
+    * Texts are told apart by their sets, not by their ids: rows that repeat an id with
+      different texts are linked each on their own, and two of them in one component
+      are both kept if the id is its smallest. Rows that repeat an id and text get the
+      same row each.
+    * A null id is the smallest of no component, unless all its ids are null; then the
+      component's id is null. Other columns are ignored; an empty table gives an empty
       result.
     """
-    ship_package(docs.sparkSession)
-    sketches = scratch(_sketches(docs, id_col, text_col, width, bands, rows), "sketches")
-    # Written first: a join of two plain exchanges can split the rows of a hot class.
-    classes = scratch(sketches.where("n > 0").groupBy(F.col("d1").alias("c1"), F.col("d2").alias("c2")).agg(F.min("id").alias("v")), "class-ids", settle=True)
-    placed = sketches.join(classes, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
-    first = F.col("id") == F.col("v")
-    placed = scratch(placed.select("id", "n", "v", "d1", F.when(first, F.col("bands")).alias("bands")), "classes", settle=True)
-    reps = placed.where("bands is not null").select("v", F.col("d1").alias("d"), "n", "bands")
-    good, labels, more = _links(docs, reps, id_col, text_col, width, percent)
-    if not more.isEmpty():
-        labels = scratch(components(scratch(good.unionAll(more), "all-links", settle=True)), "final-labels", settle=True)
-    found = placed.join(labels.withColumnRenamed("v", "lv"), F.col("v") == F.col("lv"), "left")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("root", "v"))
-    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    found = _sketched(docs, percent, width, bands, rows, id_col, text_col)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, all columns unchanged.
+    """``docs`` with one text of each component, all columns unchanged.
 
-    The document with the smallest id stays. The dropped ids go into a bit map of
-    fixed size: rows that are surely not among them pass without a shuffle. Ids
-    must be unique: of rows that repeat an id all go if one of them goes."""
-    dropped = near_duplicates(docs, percent, width, id_col=id_col, text_col=text_col).where("not kept and doc_id is not null")
-    dropped = scratch(dropped.select(F.col("doc_id").alias(TMP + "gone")).distinct(), "dropped", settle=True)
+    The text with the smallest id stays, null ids last; of texts with one id the one
+    with the smallest digest. Rows that repeat an id and text stay or go together; texts
+    without words stay. The ids of what goes are put into a bit map of fixed size: rows
+    that are surely not among them pass without a shuffle, the others are looked up by
+    id and digest."""
+    gone, gone_id, gone_d = TMP + "gone", TMP + "gone_id", TMP + "gone_d"
+    dropped = _sketched(docs, percent, width, BANDS, ROWS, id_col, text_col).where("not first").select(F.coalesce("id", F.lit(0)).alias(gone_id), F.col("d1").alias(gone_d))
+    dropped = scratch(dropped.distinct(), "dropped", settle=True)
     bits = bitmap_size(dropped.count())
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    key = F.col(f"`{id_col}`").cast("long")
-    maybe, stays = split_by_bitmap(docs, F.xxhash64(key), bitmap_of(dropped, F.xxhash64(TMP + "gone"), bits), bits)
-    return stays.select(*columns).unionAll(maybe.join(dropped, key == F.col(TMP + "gone"), "left_anti").select(*columns))
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0))
+
+    def work():
+        shingle = _shingler(width)
+        return lambda texts: [_digest(shingle(t))[0] for t in texts]  # null without words: such texts stay
+
+    maybe, stays = split_by_bitmap(docs, F.xxhash64(key), bitmap_of(dropped, F.xxhash64(gone_id), bits), bits)
+    digest = maybe.withColumn(gone, text_udf("long", work)(F.col(f"`{text_col}`")))
+    return stays.select(*columns).unionAll(digest.join(dropped, (key == F.col(gone_id)) & (F.col(gone) == F.col(gone_d)), "left_anti").select(*columns))

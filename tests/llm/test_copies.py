@@ -117,18 +117,98 @@ def test_links_that_no_leader_sees_are_found(spark):
     assert found == brute_components(texts, ids, 85)
 
 
-def test_bound_holds_for_what_only_the_leader_shares(spark):
-    """x and y share 100 of 110 shingles; ten more x has in common with the leader only."""
-    hub = [f"l{k}" for k in range(105)]
-    out = [f"o{k}" for k in range(10)]
-    texts = [" ".join(t) for t in (hub, hub[:100] + out, hub[:90] + out, [f"z{k}" for k in range(10)])]
+def linked_families(spark, families, percent):
+    """Components (by id) of families of word lists; all texts of a family share one bucket,
+    no matter how alike they are, and have no other."""
+    texts, buckets = [], []
+    for f, family in enumerate(families):
+        for words in family:
+            texts.append(" ".join(f"{w}f{f}" for w in words))
+            buckets.append(f)
     table = docs(spark, texts)
     digest = {r["v"]: r["d"] for r in near_dup._sets(table, "doc_id", "text", 1).collect()}
-    # All three share one bucket, and the hub another with z, so it is the leader.
-    buckets = [[1, 2], [1, 11], [1, 12], [13, 2]]
-    reps = spark.createDataFrame([(i, digest[i], len(t.split()), b) for i, (t, b) in enumerate(zip(texts, buckets, strict=True))], "v long, d long, n long, bands array<long>")
-    good, _, more = near_dup._links(table, reps, "doc_id", "text", 1, 85)
-    assert [set(r) for r in good.collect()] == [{0, 1}] and [set(r) for r in more.collect()] == [{1, 2}]
+    rows = [(i, i, digest[i], len(t.split()), [b]) for i, (t, b) in enumerate(zip(texts, buckets, strict=True))]
+    classes = scratch(spark.createDataFrame(rows, "k long, v long, d long, n long, bands array<long>"), "classes")
+    star, more = near_dup._links(table, classes, "doc_id", "text", 1, percent)
+    root = components.union_find([tuple(r) for r in star.unionAll(more).collect()])
+    return [root.get(i, i) for i in range(len(texts))]
+
+
+def brute_families(families, percent):
+    found, base = [], 0
+    for family in families:
+        sets = [frozenset(words) for words in family]
+        root = components.union_find([(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])])
+        found += [base + root.get(i, i) for i in range(len(family))]
+        base += len(family)
+    return found
+
+
+def random_family(rng):
+    """Two to seven sets that share blocks of words with some of the others, near the threshold."""
+    m = rng.randint(2, 7)
+    members = [[] for _ in range(m)]
+    for block in range(rng.randint(2, 12)):
+        size = rng.choice((1, 1, 2, 3, 5, 8, 13, 60, 90))
+        for i in rng.sample(range(m), rng.randint(1, m)):
+            members[i] += [f"b{block}w{k}" for k in range(size)]
+    return [list(s) for s in dict.fromkeys(tuple(w) for w in members) if s]
+
+
+def test_hub_between_two_alike_texts(spark):
+    """What two texts share with their leader alone must not count as their own."""
+    hub, out = [f"l{k}" for k in range(105)], [f"o{k}" for k in range(10)]
+    family = [hub, hub[:100] + out, hub[:90] + out]
+    common, xy, x, y, yl, ll = ([f"{name}{k}" for k in range(n)] for name, n in (("c", 91), ("xy", 1), ("x", 8), ("y", 7), ("yl", 1), ("l", 9)))
+    other = [common + xy + x, common + xy + y + yl, common + yl + ll]
+    for percent in (85, 80):
+        families = [family, other, *([f] for f in family)]
+        assert linked_families(spark, families, percent) == brute_families(families, percent)
+    assert brute_families([other[:2]], 85) == [0, 0]
+
+
+def test_every_pair_of_a_bucket_is_judged_as_by_brute_force(spark):
+    rng = random.Random(5)
+    families = [random_family(rng) for _ in range(3000)]
+    for percent in (85, 60):
+        expected = brute_families(families, percent)
+        assert linked_families(spark, families, percent) == expected
+        assert 200 < sum(i != r for i, r in enumerate(expected))
+
+
+def test_blocks_of_hot_keys_change_nothing(spark, monkeypatch):
+    """One bucket and one leader for all, lists and hubs far beyond a block."""
+    from fluviant.llm import _common
+
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    monkeypatch.setattr(_common, "FEW_ROWS", 4)
+    rng = random.Random(6)
+    pool = [f"p{k}" for k in range(14)]
+    families = [[[f"t{k}" for k in range(60)] + rng.sample(pool, rng.randint(1, 10)) + [f"own{i}"] * rng.randint(0, 1) for i in range(120)]]
+    families = [[list(s) for s in dict.fromkeys(tuple(sorted(set(w))) for w in families[0])]]
+    for percent in (85, 93):
+        assert linked_families(spark, families, percent) == brute_families(families, percent)
+
+
+def test_repeated_ids_with_different_texts_are_linked_on_their_own(spark):
+    a, b = prose(2, seed=8, words=80, vocabulary=3000)
+    table = docs(spark, [a + " end", a, b], [1, 5, 5])
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(table).collect())
+    assert found == [(1, 1, True), (5, 1, False), (5, 5, True)]
+    assert sorted((r["doc_id"], r["text"]) for r in near_dup.drop_near_duplicates(table).collect()) == sorted([(1, a + " end"), (5, b)])
+    both = docs(spark, [a + " end", a], [5, 5])
+    assert {(r["component_id"], r["kept"]) for r in near_dup.near_duplicates(both).collect()} == {(5, True)}
+    assert near_dup.drop_near_duplicates(both).count() == 1
+
+
+def test_lookup_joins_hot_and_cold_keys_alike(spark):
+    from fluviant.llm._common import lookup
+
+    rows = scratch(spark.range(5000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 50).alias("a"), F.col("id").alias("x"), F.lit(1).alias("b")), "rows")
+    table = scratch(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.max("x").alias("top")).where("a <> 7"), "table")
+    for how in ("inner", "left"):
+        expected = {tuple(r) for r in rows.join(table, ["a", "b"], how).select("a", "b", "x", "m", "top").collect()}
+        assert {tuple(r) for r in lookup(rows, table, ("a", "b"), "m", 5000, how).select("a", "b", "x", "m", "top").collect()} == expected
 
 
 def test_near_with_null_and_repeated_ids(spark):
@@ -138,7 +218,7 @@ def test_near_with_null_and_repeated_ids(spark):
     assert found == [(-1, -1, True), (-1, 2, False), (1, 1, True), (2, 2, True), (4, 2, False), (4, 2, False)]
     assert near_dup.near_duplicates(empty(spark)).count() == 0
     kept = near_dup.drop_near_duplicates(table)
-    assert kept.columns == table.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 1, 2]
+    assert kept.columns == table.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 2]  # the copy with a null id goes, the other words stay
     assert near_dup.drop_near_duplicates(empty(spark)).count() == 0
 
 
