@@ -2,33 +2,40 @@
 
 A text that holds none of a few words is done after one pass. For the others the
 words get their numbers ("7:mit 8:license"), so a regex match carries the
-interval of words it covers. Rules whose keyword is absent are skipped. One sweep
-over the detections, sorted by start, then suppresses each detection whose
+interval of words it covers. Which keywords a text holds is found once; rules of
+which none is there are skipped. One sweep over the detections, sorted by start, then suppresses each detection whose
 interval lies within that of a detection of equal or higher priority. Everything
 is a column expression; no row leaves its task and nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .license_rules import BASE, GATE, WEIGHTS, Rule, rules
+from .license_rules import BASE, GATE, WEIGHTS, Rule, parse, regex_of, rules
 
 #: What stands between words once A-Z are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+#: The one character outside A-Z whose lower case is a letter of a-z, and one that stays a letter like it.
+KELVIN, OTHER = "\u212a", "\u0138"
+
+
 def words_of(text: Column) -> Column:
-    """Lower-case words with one space between two; null as empty."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BETWEEN, " "))
+    """Words with A-Z in lower case and one space between two; null as empty.
+
+    ``lower`` changes letters beyond A-Z too, which no rule has and which stay letters
+    of a word; only the Kelvin sign would become a k, and is kept from it."""
+    return F.trim(F.regexp_replace(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit(KELVIN), F.lit(OTHER))), BETWEEN, " "))
 
 
 def numbered_pattern(pattern: str) -> str:
     """A rule's regex over numbered words: each word gets its number in front."""
-    return re.sub(r"[a-z0-9]+", lambda m: rf"\d+:{m[0]}(?![^ ])", pattern)
+    return regex_of(parse(pattern), lambda w: rf"\d+:{w}(?![^ ])")
 
 
 def _intervals(numbered: Column, pattern: Column) -> Column:
@@ -46,8 +53,15 @@ def _labelled(label: str):
     return lambda d: F.struct(d["start"].alias("start"), F.lit(label).alias("label"))
 
 
-def _rule_array(rule_set: list[Rule]) -> Column:
-    return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.needs).alias("needs"), F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(numbered_pattern(r.pattern)).alias("pattern")) for r in rule_set])
+def _rule_array(rule_set: Sequence[Rule], keywords: list[str]) -> Column:
+    """The rules with the places of their keywords; a rule without any is always tried."""
+    place = {k: i for i, k in enumerate(keywords)}
+
+    def struct(r: Rule) -> Column:
+        held = F.array(*[F.lit(place[k]) for k in r.keywords]) if r.keywords else F.array().cast("array<int>")
+        return F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), held.alias("keywords"), F.lit(numbered_pattern(r.pattern)).alias("pattern"))
+
+    return F.array(*map(struct, rule_set))
 
 
 def _survivors(detections: Column) -> Column:
@@ -73,24 +87,32 @@ def _survivors(detections: Column) -> Column:
     return F.aggregate(ordered, zero, step, lambda s: F.struct(s["labels"].alias("labels"), s["best"].alias("best")))
 
 
-def _scan(words: Column, rule_set: list[Rule]) -> Column:
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _scan(words: Column, rule_set: Sequence[Rule]) -> Column:
     """Struct of everything found in one text of numbered words; used on gated texts only."""
     numbered = F.array_join(F.transform(F.split(words, " "), lambda w, i: F.concat(i.cast("string"), F.lit(":"), w)), " ")
-
+    keywords = sorted({k for r in rule_set for k in r.keywords})
     padded = F.concat(F.lit(" "), words, F.lit(" "))
 
     def of(numbered: Column) -> Column:
         # The base phrases are always looked for.
         base = [F.transform(_intervals(numbered, F.lit(numbered_pattern(phrase))), _labelled(label)) for phrase, label in BASE]
-        hits = F.filter(_rule_array(rule_set), lambda r: F.contains(padded, r["needs"]) & F.exists(r["keywords"], lambda k: F.contains(padded, k)))
-        found = F.flatten(F.transform(hits, lambda r: F.transform(_intervals(numbered, r["pattern"]), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label")))))
-        return F.struct(F.concat(*base).alias("base"), _survivors(found).alias("method"))
 
-    # A one-element array binds the numbered text once for all expressions over it.
-    return F.element_at(F.transform(F.array(numbered), of), 1)
+        def detections(present: Column) -> Column:
+            hits = F.filter(_rule_array(rule_set, keywords), lambda r: (F.size(r["keywords"]) == 0) | F.exists(r["keywords"], lambda k: F.get(present, k)))
+            return F.flatten(F.transform(hits, lambda r: F.transform(_intervals(numbered, r["pattern"]), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label")))))
+
+        present = _let(padded, lambda t: F.transform(F.array(*[F.lit(f" {k} ") for k in keywords]), lambda k: F.contains(t, k)))
+        return F.struct(F.concat(*base).alias("base"), _survivors(_let(present, detections)).alias("method"))
+
+    return _let(numbered, of)
 
 
-def license_scan(docs: DataFrame, rule_set: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, rule_set: Sequence[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_base, first_word,
     last_word, base_labels, labels, score``.
 
@@ -103,12 +125,14 @@ def license_scan(docs: DataFrame, rule_set: list[Rule] | None = None, id_col: st
     * ``score`` is the weight of the best surviving detection, 0 without any.
     * Of two detections with the same interval the one of higher priority stays,
       then the smaller label. Other columns are ignored; repeated rows repeat.
+    * ``rule_set`` may be another set of rules. Rules without keywords are tried on
+      every text, and with one among them no text is stopped by the gate.
     """
     rule_set = rules() if rule_set is None else rule_set
     words = words_of(F.col(text_col))
-    gate = F.lit(False)
+    gate = F.lit(not all(r.keywords for r in rule_set))
     for key in GATE:
-        gate = gate | F.contains(F.col("words"), F.lit(key))
+        gate = gate | F.contains(F.concat(F.lit(" "), F.col("words"), F.lit(" ")) if key != key.strip() else F.col("words"), F.lit(key))
     scanned = docs.select(F.col(id_col).alias("doc_id"), words.alias("words")).select(
         "doc_id",
         F.when(F.col("words") == "", F.lit(0)).otherwise(F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"),

@@ -338,6 +338,7 @@ def test_license_sweep_matches_brute_force(spark):
     found = {r["doc_id"]: r for r in license_scan.license_scan(docs(spark, texts)).collect()}
     for i, t in enumerate(texts):
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())
+        assert len(words) == found[i]["n_words"]
         joined = " ".join(f"{k}:{w}" for k, w in enumerate(words))
         hits = []
         for rule in rules:
@@ -349,52 +350,75 @@ def test_license_sweep_matches_brute_force(spark):
         assert set(filter(None, found[i]["labels"].split(","))) == expected, t
 
 
-def test_words_of_the_prefilter_never_hide_a_match():
-    """Each rule's own example passes its gate, its needs and its keywords."""
+def spellings(pattern, most=400):
+    return license_rules.expansions(license_rules.parse(pattern), most)
+
+
+def test_expansions_hold_every_alternative():
+    assert sorted(spellings("a(?: b)? (?:c|d(?: e)?)")) == sorted(["a c", "a d", "a d e", "a b c", "a b d", "a b d e"])
+    few = spellings("(?:a|b) (?:c|d|e)(?: f)?", most=1)
+    assert {w for t in few for w in t.split()} == set("abcdef") and len(few) < 12
+    assert spellings("holders? open ?rail an? x… y") and all(re.fullmatch(license_rules.regex_of(license_rules.parse("holders? open ?rail an? x… y")), t) for t in spellings("holders? open ?rail an? x… y"))
+    with pytest.raises(ValueError, match="not a rule"):
+        license_rules.parse("a+ (b")
     for rule in license_rules.rules():
-        plain = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", rule.pattern)
-        while "(" in plain:
-            plain = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??", r"\1", plain)
-        text = f" {re.sub(' +', ' ', plain).strip()} "
-        assert any(g in text for g in license_rules.GATE), text
-        assert rule.needs in text and any(k in text for k in rule.keywords), (rule, text)
-    assert Counter(r.priority for r in license_rules.rules())[1] > 60
-
-
-def expansions(pattern):
-    """Every text a rule's regex stands for: groups, alternatives and optional groups."""
-
-    def alternatives(at):
-        done, now = [], [""]
-        while at < len(pattern) and pattern[at] != ")":
-            if pattern[at] == "|":
-                done, now, at = done + now, [""], at + 1
-            elif pattern.startswith("(?:", at):
-                inner, at = alternatives(at + 3)
-                at += 1
-                if pattern.startswith("?", at):
-                    inner, at = ["", *inner], at + 1
-                now = [a + b for a in now for b in inner]
-            else:
-                now, at = [a + pattern[at] for a in now], at + 1
-        return done + now, at
-
-    return alternatives(0)[0]
-
-
-def test_no_spelling_of_a_rule_is_hidden_by_the_prefilter(spark):
+        assert not re.search(r"[a-z0-9]\((?!\?:[ |])|\)\??[a-z0-9]", rule.pattern.replace(" )?", " )? ").replace(" )", " ) ")), rule.pattern  # no group divides a word
+
+
+def test_no_spelling_of_a_rule_is_hidden_by_the_prefilter():
     for rule in license_rules.rules():
-        for text in expansions(rule.pattern):
-            assert re.fullmatch(rule.pattern, text), (rule, text)
-            assert any(g in text for g in license_rules.GATE), text
-            assert rule.needs in f" {text} " and any(k in f" {text} " for k in rule.keywords), (rule, text)
-    spellings = {
+        regex = license_rules.regex_of(license_rules.parse(rule.pattern))
+        assert rule.keywords
+        for text in spellings(rule.pattern):
+            assert re.fullmatch(regex, text), (rule, text)
+            assert any(g in f" {text} " for g in license_rules.GATE), (rule, text)
+            assert any(f" {k} " in f" {text} " for k in rule.keywords), (rule, text)
+    priorities = Counter(r.priority for r in license_rules.rules())
+    written = [license_rules.PERMISSIVE, license_rules.RECIPROCAL, license_rules.EXCEPTIONS, license_rules.CONTENT, license_rules.RESTRICTED, license_rules.NOTICES]
+    assert sum(map(len, written)) > 250 and priorities[1] > 200
+
+
+def test_a_scan_without_prefilter_finds_the_same(spark):
+    """Every alternative of every rule, between other words, with and without gate and keywords."""
+    texts = sorted({f"x {t} y" for rule in license_rules.rules() for t in spellings(rule.pattern, most=1)})
+    assert len(texts) > 2000
+    table = scratch(docs(spark, texts).repartition(8), "spellings")
+    bare = tuple(r._replace(keywords=()) for r in license_rules.rules())
+    found, plain = (sorted(tuple(r) for r in license_scan.license_scan(table, rule_set).collect()) for rule_set in (None, bare))
+    assert found == plain and all(r[6] and r[7] > 0 for r in found)
+
+
+def test_hidden_spellings_of_before_and_expressions(spark):
+    labelled = {
         "Licensed under the Expat license": "mit", "released under the FreeBSD license": "bsd-2-clause", "see the Berkeley Software Distribution license": "bsd",
         "the Internet Systems Consortium license": "isc", "under the University of Illinois open source license license": "ncsa", "licensed under the PNG license": "libpng",
-        "distributed under the Do What The Fuck You Want To Public License": "wtfpl", "available under GPL-3.0-only": "gpl-3.0",
+        "distributed under the Do What The Fuck You Want To Public License": "wtfpl", "available under GPL-3.0-only": "gpl-3.0", "this file is released under the mit": "mit",
+        "distributed under gpl 2 0": "gpl-2.0", "SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note": "gpl-2.0,linux-syscall-note",
+        "SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit", "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd-3-clause",
+        "https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa-4.0", "you can redistribute it and/or modify it under the same terms as Perl itself": "artistic-1.0-perl",
     }
-    found = license_scan.license_scan(docs(spark, list(spellings))).orderBy("doc_id").collect()
-    assert [r["labels"] for r in found] == list(spellings.values()) and all(r["score"] > 0 for r in found)
+    found = license_scan.license_scan(docs(spark, list(labelled))).orderBy("doc_id").collect()
+    assert [r["labels"] for r in found] == list(labelled.values()) and all(r["score"] > 0 for r in found)
+
+
+def test_only_ascii_letters_are_lower_cased_into_words_of_rules(spark):
+    """No character beyond ASCII may turn into a letter of a-z; the Kelvin sign would."""
+    turned = [c for c in map(chr, range(128, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and re.search("[a-z]", c.lower())]
+    assert turned == ["\u0130", "\u212a"]  # the first also leaves a mark above, which stays a character of the word
+    texts = ["M\u0130T license", "apac\u212a license", "MIT \u212aicense", "\u212alicense MIT LICENSE", "É MIT LICENSE é"]
+    found = license_scan.license_scan(docs(spark, texts)).orderBy("doc_id").collect()
+    for t, r in zip(texts, found, strict=True):
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_license(t), t
+    kelvin = license_scan.license_scan(docs(spark, ["wor\u212a license mit", "public wor\u212as domain"])).collect()
+    assert all(r["labels"] == "" for r in kelvin)
+
+
+def test_license_scan_repeats_rows_and_takes_nulls_and_long_texts(spark):
+    texts = [None, "", "MIT License", "MIT License", "word " * 100_000 + "mit license"]
+    found = [tuple(r) for r in license_scan.license_scan(docs(spark, texts, [None, 1, 2, 2, 3])).collect()]
+    rows = {r[0]: r for r in found}
+    assert len(found) == 5 and sum(r[0] == 2 for r in found) == 2 and rows[2][5:7] == ("mit", "mit")
+    assert rows[None][1:] == (0, 0, None, None, "", "", 0.0) and rows[3][1:6] == (100_002, 1, 100_000, 100_000, "mit")
 
 
 def test_names_that_hold_license_are_found_without_another(spark):
@@ -404,7 +428,7 @@ def test_names_that_hold_license_are_found_without_another(spark):
         "GNU Affero General Public License v3": "agpl-3.0", "Boost Software License": "bsl-1.0", "Apache License v2.0": "apache-2.0",
         "GNU General Public License v2 or later": "gpl-2.0", "LaTeX Project Public License v1.3c": "lppl-1.3c", "The Unlicense": "unlicense",
     }
-    named = [(label, text) for label, _, name, _ in license_rules.FAMILIES for text in expansions(name) if "licen" in text]
+    named = [(label, text) for label, name, _ in license_rules.FAMILIES for text in spellings(name) if "licen" in text]
     assert len({label for label, _ in named}) > 45
     expected = [*((label, text) for text, label in plain.items()), *named]
     found = license_scan.license_scan(docs(spark, [f"{text}, as written" for _, text in expected])).orderBy("doc_id").collect()
