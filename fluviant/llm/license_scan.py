@@ -10,6 +10,7 @@ is a column expression; no row leaves its task and nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,15 +54,16 @@ def _labelled(label: str):
     return lambda d: F.struct(d["start"].alias("start"), F.lit(label).alias("label"))
 
 
+def _constant(value: list, schema: str) -> Column:
+    """A list as one constant: the planner folds it, however long, into a single value."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def _rule_array(rule_set: Sequence[Rule], keywords: list[str]) -> Column:
     """The rules with the places of their keywords; a rule without any is always tried."""
     place = {k: i for i, k in enumerate(keywords)}
-
-    def struct(r: Rule) -> Column:
-        held = F.array(*[F.lit(place[k]) for k in r.keywords]) if r.keywords else F.array().cast("array<int>")
-        return F.struct(F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), held.alias("keywords"), F.lit(numbered_pattern(r.pattern)).alias("pattern"))
-
-    return F.array(*map(struct, rule_set))
+    rows = [{"priority": r.priority, "label": r.label, "keywords": [place[k] for k in r.keywords], "pattern": numbered_pattern(r.pattern)} for r in rule_set]
+    return _constant(rows, "array<struct<priority:int,label:string,keywords:array<int>,pattern:string>>")
 
 
 def _survivors(detections: Column) -> Column:
@@ -106,7 +108,7 @@ def _scan(words: Column, rule_set: Sequence[Rule]) -> Column:
             hits = F.filter(_rule_array(rule_set, keywords), lambda r: (F.size(r["keywords"]) == 0) | F.exists(r["keywords"], lambda k: F.get(present, k)))
             return F.flatten(F.transform(hits, lambda r: F.transform(_intervals(numbered, r["pattern"]), lambda d: F.struct(d["start"].alias("start"), d["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label")))))
 
-        present = _let(padded, lambda t: F.transform(F.array(*[F.lit(f" {k} ") for k in keywords]), lambda k: F.contains(t, k)))
+        present = _let(padded, lambda t: F.transform(_constant([f" {k} " for k in keywords], "array<string>"), lambda k: F.contains(t, k)))
         return F.struct(F.concat(*base).alias("base"), _survivors(_let(present, detections)).alias("method"))
 
     return _let(numbered, of)

@@ -11,7 +11,7 @@ from .exact_dup import exact_duplicates
 from .license_scan import license_scan
 from .near_dup import near_duplicates
 from .packing import pack_documents
-from .quality import ledger, verdicts
+from .quality import ablations, ledger, verdicts
 from .sharding import ROUNDS, feistel_shards
 from .token_counts import count_tokens
 
@@ -58,6 +58,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(ledger(_documents(spark, sf_dir)))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy rejects, alone and with the others."""
+    return ablations(ledger(_documents(spark, sf_dir)))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
@@ -78,7 +83,33 @@ def _feistel_sql(value: str) -> str:
 #: The byte table of crc32, from its polynomial.
 _CRC = "(SELECT list(list_reduce(range(8), lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) ORDER BY i) FROM range(256) t(i))"
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_token_counts, op4_language, op5_near_duplicates, op6_exact_duplicates, op7_license_scan, op8_feistel_shards, op9_quality_rules, op10_packing)}
+#: The ledger of the quality rules, up to its rows ``b``.
+_LEDGER = r"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+        u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+        g AS (SELECT doc_id, i, CASE WHEN lead(word, 7) OVER o IS NOT NULL THEN concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o,
+                     lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o, lead(word, 6) OVER o, lead(word, 7) OVER o) END AS win
+              FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        f AS (SELECT doc_id, i, CASE WHEN win IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, win) > 1 THEN 1 ELSE 0 END AS dup FROM g),
+        c AS (SELECT doc_id, max(dup) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM f),
+        r AS (SELECT doc_id, sum(covered) AS n FROM c GROUP BY doc_id),
+        m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+                     CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+                     CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+                     CAST(len(ls) AS BIGINT) AS n_lines,
+                     CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals
+              FROM w LEFT JOIN r USING (doc_id)),
+        b AS (SELECT *, CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+                     + CASE WHEN 10 * n_symbols > 2 * n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
+                     + CASE WHEN word_chars > 40 * n_words THEN 16 ELSE 0 END + CASE WHEN 2 * word_chars < 3 * n_words THEN 32 ELSE 0 END
+                     + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END AS INTEGER) AS failed FROM m)
+        """
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_toxicity, op3_token_counts, op4_language, op5_near_duplicates, op6_exact_duplicates, op7_license_scan, op8_feistel_shards, op9_quality_rules, op10_packing, quality_ablations)}
 
 ORACLE_SQL = {
     "op5_near_duplicates": r"""
@@ -117,29 +148,10 @@ ORACLE_SQL = {
              k AS (SELECT doc_id, norm, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM k
     """,
-    "op9_quality_rules": r"""
-        WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-        w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
-                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
-        u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
-        g AS (SELECT doc_id, i, CASE WHEN lead(word, 7) OVER o IS NOT NULL THEN concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o,
-                     lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o, lead(word, 6) OVER o, lead(word, 7) OVER o) END AS win
-              FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-        f AS (SELECT doc_id, i, CASE WHEN win IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, win) > 1 THEN 1 ELSE 0 END AS dup FROM g),
-        c AS (SELECT doc_id, max(dup) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM f),
-        r AS (SELECT doc_id, sum(covered) AS n FROM c GROUP BY doc_id),
-        m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-                     CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
-                     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-                     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-                     CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
-                     CAST(len(ls) AS BIGINT) AS n_lines,
-                     CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals
-              FROM w LEFT JOIN r USING (doc_id)),
-        b AS (SELECT *, CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
-                     + CASE WHEN 10 * n_symbols > 2 * n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
-                     + CASE WHEN word_chars > 40 * n_words THEN 16 ELSE 0 END + CASE WHEN 2 * word_chars < 3 * n_words THEN 32 ELSE 0 END
-                     + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END AS INTEGER) AS failed FROM m)
-        SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b
-    """,
+    "op9_quality_rules": _LEDGER + "SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM b",
+    "quality_ablations": _LEDGER
+    + """, each AS (SELECT unnest(['few_words', 'repeated_words', 'symbols', 'duplicate_lines', 'long_words', 'short_words', 'capitals']) AS rule, unnest([1, 2, 4, 8, 16, 32, 64]) AS bit)
+        SELECT rule, CAST(sum(CASE WHEN failed & bit <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed, CAST(sum(CASE WHEN failed = bit THEN 1 ELSE 0 END) AS BIGINT) AS only_by_rule,
+               CAST(sum(CASE WHEN failed = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept_with, CAST(sum(CASE WHEN failed & (127 - bit) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept_without
+        FROM b, each GROUP BY rule""",
 }

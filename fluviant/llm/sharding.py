@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import numbered
-
+from ..session import scratch
 
 #: Rounds of the permutation.
 ROUNDS = 4
@@ -68,7 +68,8 @@ def feistel_shards(docs: DataFrame, shards: int = 24, seed: int = 20, id_col: st
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     light = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    rows, n = numbered(light, ["doc_id", "text_crc32", "size"], "shard-rows")
+    # Written first: the sample for the ranges then reads the light rows, not the texts again.
+    rows, n = numbered(scratch(light, "shard-light"), ["doc_id", "text_crc32", "size"], "shard-rows")
     placed = rows.withColumn("place", permuted(F.col("row_number"), max(n, 1), seed))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),

@@ -43,6 +43,27 @@ def test_a_colliding_hash_does_not_merge_texts(spark, monkeypatch):
     assert found == {0: 0, 1: 1, 2: 0, 3: 1, 4: 4}
 
 
+def test_texts_that_share_every_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(exact_dup, "_hash128", lambda text: F.unhex(F.lit("00")))
+    monkeypatch.setattr(exact_dup, "_digest", lambda text: F.unhex(F.lit("01")))
+    table = docs(spark, ["a", "b", "a", "b", "c", None, "a "], [7, 1, 0, 3, 4, 9, 2])
+    found = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dup.exact_duplicates(table).collect()}
+    assert found == {7: (0, 2, False), 0: (0, 2, True), 1: (1, 2, True), 3: (1, 2, False), 4: (4, 1, True), 9: (9, 1, True), 2: (2, 1, True)}
+    kept = exact_dup.drop_exact_duplicates(table)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4, 9] and kept.columns == table.columns
+
+
+def test_large_groups_and_ids_of_other_types(spark, monkeypatch):
+    from fluviant.llm import _common
+
+    monkeypatch.setattr(_common, "FEW_ROWS", 3)
+    texts = ["same  text"] * 40 + ["other"] * 2 + ["once"] + ["same text"] * 20
+    table = docs(spark, texts).withColumn("doc_id", F.concat(F.lit("k"), F.lpad(F.col("doc_id").cast("string"), 3, "0")))
+    found = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dup.exact_duplicates(table).collect()}
+    assert found["k059"] == ("k000", 60) and found["k041"] == ("k040", 2) and found["k042"] == ("k042", 1)
+    assert sorted(r["doc_id"] for r in exact_dup.drop_exact_duplicates(table).collect()) == ["k000", "k040", "k042"]
+
+
 def test_exact_with_null_and_repeated_ids(spark):
     table = docs(spark, ["x", "x", "x", "y", "y", "z"], [None, 5, 5, None, None, 1])
     found = exact_dup.exact_duplicates(table).collect()
