@@ -1,10 +1,11 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A term is a word or a word's beginning that occurs once, twice or four times at
-least, hashed to 32 bits. Terms whose document frequency differs between the
-classes become features; the machine learns a weight for each and a vector whose inner products weigh each pair, so that two
-terms together (an insult and the group it is aimed at) can count more than
-their weights add up to.
+least, hashed to 32 bits. Features are the terms whose document frequency differs
+between the classes, however many, and words that do so only beside another word:
+neutral alone, but not together. The machine learns a weight for each feature and
+a vector whose inner products weigh each pair, so that two terms together (an insult
+and the group it is aimed at) can count more than their weights add up to.
 """
 
 from __future__ import annotations
@@ -25,11 +26,15 @@ from ..session import scratch, ship_package
 from ._common import held_out, resident
 from .byte_bpe import map_texts, text_udf
 
-#: Labelled rows learnt from, of each class; features; length of the pair vectors.
-ROWS_PER_CLASS, FEATURES, FACTORS = 6_000, 768, 8
+#: Labelled rows learnt from, of each class; length of the pair vectors.
+ROWS_PER_CLASS, FACTORS = 6_000, 8
 
-#: Standard errors by which a term's document frequencies must differ.
-LEAST_Z = 4.0
+#: Standard errors by which a term's document frequencies must differ; and those of a
+#: word among the texts with its partner, where far more pairs are tested.
+LEAST_Z, LEAST_PAIR_Z = 4.0, 9.0
+
+#: Toxic texts, no two alike, that must hold a pair; share of texts a partner may be in.
+PAIR_SUPPORT, PAIR_SHARE = 8, 0.1
 
 #: Beginnings of words that are terms, by length; occurrences that make further terms.
 PREFIXES, LEVELS = (4, 5, 6, 7), (1, 2, 4)
@@ -70,24 +75,29 @@ class Model(NamedTuple):
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic rows, rows) of (text, toxic) rows, summed over a part of them."""
+    """(term, toxic rows, rows, 1 if it is a whole word) of (text, toxic) rows, summed over a part of them."""
 
     def flush():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], names=["term", "pos", "n"])
+        columns = [pa.array(list(seen), pa.int64()), *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(3))]
+        return pa.RecordBatch.from_arrays(columns, names=["term", "pos", "n", "word"])
 
     seen: dict[int, list[int]] = {}
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             times: Counter = Counter()
+            whole = set()
             for w, n in Counter(words((text or "").lower())).items():
-                for t in terms(w):
+                own = terms(w)
+                whole.add(own[0])
+                for t in own:
                     times[t] += n
             for t, n in times.items():
                 for level in LEVELS:
                     if n >= level:
-                        held = seen.setdefault(at_level(t, level), [0, 0])
+                        held = seen.setdefault(at_level(t, level), [0, 0, 0])
                         held[0] += toxic
                         held[1] += 1
+                        held[2] |= level == 1 and t in whole
             if len(seen) > 300_000:
                 yield flush()
                 seen = {}
@@ -95,25 +105,78 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _fit(x: np.ndarray, y: np.ndarray, row_weight: np.ndarray, factors: int, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, pair_decay: float = 1e-2) -> tuple[float, np.ndarray, np.ndarray]:
-    """Weights of the machine by Adam on the weighted log loss, over all rows at once."""
+def _two_proportions(p: np.ndarray, m: np.ndarray, q: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """By how many standard errors p of m exceeds q of n; 0 where either has no rows."""
+    both = (p + q) / np.maximum(m + n, 1)
+    error = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / np.maximum(m, 1) + 1 / np.maximum(n, 1)))
+    return np.where((m > 0) & (n > 0), (p / np.maximum(m, 1) - q / np.maximum(n, 1)) / error, 0.0)
+
+
+def partners(rows: list[np.ndarray], y: np.ndarray, k: int, least_z: float = LEAST_PAIR_Z, support: int = PAIR_SUPPORT) -> np.ndarray:
+    """The words that, beside another word, are in toxic rows more often than beside it in clean ones.
+
+    ``rows`` hold numbers below ``k``. A pair counts if each of its words is significant
+    among the rows that have the other, and ``support`` toxic rows, no two with the same
+    words, hold both. Each word is met with the rows it is in, so the work is that of the
+    words of one row after the other, and the memory that of one word's partners."""
+    first = {(bool(t), r.tobytes()): i for i, (r, t) in reversed(list(enumerate(zip(rows, y, strict=True))))}
+    rows, y = [rows[i] for i in sorted(first.values())], np.array([bool(y[i]) for i in sorted(first.values())], bool)
+    sizes = np.array([len(r) for r in rows], np.int64)
+    flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(flat, kind="stable")
+    ends = np.searchsorted(flat[order], np.arange(k + 1))
+    n_pos = np.bincount(flat[y[owner]], minlength=k)
+    n_neg = np.bincount(flat, minlength=k) - n_pos
+    chosen = np.zeros(k, bool)
+    for a in np.flatnonzero(n_pos >= support):
+        holders = owner[order[ends[a] : ends[a + 1]]]
+        pos = np.bincount(np.concatenate([rows[i] for i in holders[y[holders]]]), minlength=k)
+        b = np.flatnonzero((pos >= support) & (np.arange(k) > a))
+        if not len(b) or not n_neg[a]:
+            continue
+        neg = np.bincount(np.concatenate([rows[i] for i in holders[~y[holders]]]), minlength=k)[b]
+        beside_a = _two_proportions(pos[b], np.full(len(b), n_pos[a]), neg, np.full(len(b), n_neg[a]))
+        beside_b = _two_proportions(pos[b], n_pos[b], neg, n_neg[b])
+        found = b[(beside_a > least_z) & (beside_b > least_z)]
+        chosen[found] = True
+        chosen[a] |= len(found) > 0
+    return np.flatnonzero(chosen)
+
+
+def _fit(rows: list[np.ndarray], y: np.ndarray, m: int, row_weight: np.ndarray, factors: int, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, pair_decay: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weights of the machine by Adam on the weighted log loss, over all rows at once.
+
+    ``rows`` hold the numbers (below ``m``) of the features that occur. Sums over rows and
+    over features are taken on their lists, so memory grows with what occurs, not with rows
+    times features. Feature ``m`` is in every row and stays 0: no list is empty."""
     rng = np.random.default_rng(7)
-    n, m = x.shape
-    params = [np.zeros(1, np.float32), np.zeros(m, np.float32), rng.normal(0, 0.03, (m, factors)).astype(np.float32)]
+    cols = np.concatenate([np.append(r, m) for r in rows]).astype(np.int64)
+    sizes = np.array([len(r) + 1 for r in rows])
+    starts, owner = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(cols, kind="stable")
+    held, firsts = np.unique(cols[order], return_index=True)
+    by_feature = owner[order]
+    params = [np.zeros(1, np.float32), np.zeros(m + 1, np.float32), rng.normal(0, 0.03, (m + 1, factors)).astype(np.float32)]
+    params[2][m] = 0
     mean, var = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     share = (row_weight / row_weight.sum()).astype(np.float32)
     for step in range(1, steps + 1):
         b, w, v = params
-        xv = x @ v
-        z = b + x @ w + 0.5 * ((xv**2).sum(1) - x @ (v**2).sum(1))
+        own = v[cols]
+        xv = np.add.reduceat(own, starts)
+        z = b + np.add.reduceat(w[cols], starts) + 0.5 * ((xv**2).sum(1) - np.add.reduceat((own**2).sum(1), starts))
         g = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        xg = x.T @ g
-        grads = [g.sum(keepdims=True), xg + decay * w, x.T @ (g[:, None] * xv) - xg[:, None] * v + pair_decay * v]
+        grads = [g.sum(keepdims=True), decay * w, pair_decay * v]
+        xg = np.add.reduceat(g[by_feature], firsts)
+        grads[1][held] += xg
+        grads[2][held] += np.add.reduceat((g[:, None] * xv)[by_feature], firsts) - xg[:, None] * v[held]
+        grads[1][m], grads[2][m] = 0, 0
         for i, grad in enumerate(grads):
             mean[i] = 0.9 * mean[i] + 0.1 * grad
             var[i] = 0.99 * var[i] + 0.01 * grad**2
             params[i] = (params[i] - rate * (mean[i] / (1 - 0.9**step)) / (np.sqrt(var[i] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return float(params[0][0]), params[1], params[2]
+    return float(params[0][0]), params[1][:m], params[2][:m]
 
 
 def _sample(ids: DataFrame, n: int, most: int) -> DataFrame:
@@ -127,12 +190,14 @@ def _sample(ids: DataFrame, n: int, most: int) -> DataFrame:
     return ids.where(place < int(share * spread)).orderBy(place, "id").limit(most)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS, n_features: int = FEATURES, factors: int = FACTORS, least_z: float = LEAST_Z) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS, factors: int = FACTORS, least_z: float = LEAST_Z) -> Model:
     """Fit on at most ``rows_per_class`` labelled rows of each class.
 
     Held-out rows and rows with a null id or label are never read. The sampled
-    ids, the ones with the smallest hash, are broadcast; their number is the
-    bound. Without both classes every text gets the share of toxic labels."""
+    ids, the ones with the smallest hash, are broadcast; their number is the only
+    bound, and terms, pairs and the driver's lists of them follow from it. Rows of
+    ``docs`` that repeat an id are all read; an id with both labels is toxic. Without
+    both classes every text gets the share of toxic labels."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -150,16 +215,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n_pos, n_neg = got.get(1, 0), got.get(0, 0)
     if not n_pos or not n_neg:
         return nothing
-    counts = sample.mapInArrow(_count_terms, "term long, pos long, n long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    counts = sample.mapInArrow(_count_terms, "term long, pos long, n long, word long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"), F.max("word").alias("word"))
     # Two-proportion test. (A log ratio over its error saturates for terms that no clean text
     # has, the very ones that matter, and ranks them behind common words.)
     p, q, both = F.col("pos") / n_pos, (F.col("n") - F.col("pos")) / n_neg, F.col("n") / (n_pos + n_neg)
     z = F.abs(p - q) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n_pos + 1 / n_neg))
-    chosen = counts.where("n >= 3").select("term", z.alias("z")).where(F.col("z") > least_z).orderBy(F.desc("z"), "term").limit(n_features)
-    features = {int(r[0]): i for i, r in enumerate(chosen.collect())}
-    if not features:
+    telling = (z > least_z) & (F.col("n") >= 3)
+    may_pair = (F.col("word") == 1) & (F.col("pos") >= PAIR_SUPPORT) & (F.col("n") <= PAIR_SHARE * (n_pos + n_neg))
+    chosen = counts.select("term", telling.alias("telling"), may_pair.alias("may_pair")).where("telling or may_pair").orderBy("term").toArrow()
+    term, telling, may_pair = (chosen.column(c).to_numpy() for c in ("term", "telling", "may_pair"))
+    if not len(term):
         return nothing
-    shared = docs.sparkSession.sparkContext.broadcast(features)
+    shared = docs.sparkSession.sparkContext.broadcast({int(t): i for i, t in enumerate(term)})
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Finder(shared.value)
@@ -168,12 +235,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["present", "toxic"])
 
     table = sample.mapInArrow(present, "present array<int>, toxic int").toArrow()
-    x = np.zeros((table.num_rows, len(features)), np.float32)
-    for i, found in enumerate(table.column("present").to_pylist()):
-        x[i, found] = 1
     y = table.column("toxic").to_numpy().astype(np.float32)
+    lists = table.column("present").combine_chunks()
+    flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    found = [flat[a:b] for a, b in zip(ends[:-1] - ends[0], ends[1:] - ends[0], strict=True)]
+    words_of = np.cumsum(may_pair) - 1
+    pairing = partners([words_of[r[may_pair[r]]] for r in found], y, int(may_pair.sum()))
+    telling = telling.copy()
+    telling[np.flatnonzero(may_pair)[pairing]] = True
+    if not telling.any():
+        return nothing
+    number = np.cumsum(telling) - 1
     weight = np.where(y == 1, sizes[1] / n_pos, sizes[0] / n_neg)
-    return Model(features, *_fit(x, y, weight, factors))
+    fitted = _fit([number[r[telling[r]]] for r in found], y, int(telling.sum()), weight, factors)
+    return Model({int(t): i for i, t in enumerate(term[telling])}, *fitted)
 
 
 class Finder:
