@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import box, line_centroid
 from ..schema import MIN_DRAINAGE_AREA_M2, OUTLET, ZERO_ID_BOX_DEGREES, ZERO_LENGTH_M
-from .graph import edges, heights, resolve_chains, roots
+from .graph import edges, flow, heights, resolve_chains
 from .numbering import numbered_by_group
 
 
@@ -48,8 +48,8 @@ def topological_order(streams: DataFrame, region_col: str = "TDXHydroRegion") ->
 
 def small_watersheds(streams: DataFrame, least_area_m2: float = MIN_DRAINAGE_AREA_M2) -> DataFrame:
     """``drop``: ids of outlets that drain less than ``least_area_m2``, and of all upstream of them."""
-    small = streams.where((F.col("DSLINKNO") == OUTLET) & (F.col("DSContArea") < least_area_m2)).select(F.col("LINKNO").alias("root"))
-    return roots(streams).join(small, "root", "left_semi").select(F.col("id").alias("drop"))
+    walked = flow(streams, carry=("DSContArea",))
+    return walked.where(F.col("root_DSContArea") < least_area_m2).select(F.col("id").alias("drop"))
 
 
 def drop_segments(streams: DataFrame, drop: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ survives lost executors.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,45 +54,61 @@ def resolve_chains(links: DataFrame) -> DataFrame:
     raise CycleError("downstream pointers form a cycle")
 
 
+def flow(network: DataFrame, marks: tuple[str, ...] = (), carry: tuple[str, ...] = (), with_height: bool = False, id_col: str = "LINKNO", ds_col: str = "DSLINKNO") -> DataFrame:
+    """What all segments learn from the way down, in one doubling state that is written once a round.
+
+    ``id, root`` of every segment: the outlet of its tree, itself for an outlet, or the
+    first id on the way that is not in the table. For each boolean column in ``marks``:
+    that name, the marked segment farthest down the way, the segment itself included,
+    and ``at_`` + name, the steps to it; both null without one. For each column in
+    ``carry``: ``root_`` + name, the root's value, null if the root is not in the table.
+    ``with_height``: ``height``, the edges on the longest path from a headwater.
+
+    A round follows each way HOPS times as far as the ways are long by then. ``last`` is
+    where the way has got to and ``to`` what comes next. Raises CycleError."""
+    one = F.lit(0).cast("long")
+    state = network.select(
+        F.col(id_col).alias("id"), F.when(F.col(ds_col) != OUTLET, F.col(ds_col)).alias("to"), F.col(id_col).alias("last"), one.alias("height"),
+        *[c for m in marks for c in (F.when(F.col(m), F.col(id_col)).alias(m), F.when(F.col(m), one).alias("at_" + m))],
+        *[F.col(c).alias("root_" + c) for c in carry],
+    )
+    state = scratch(state, "flow-0")
+    for k in range(_rounds(state.count())):
+        if state.where("to is not null").isEmpty():
+            return state.select("id", F.col("last").alias("root"), *["height"] * with_height, *[c for m in marks for c in (m, "at_" + m)], *["root_" + c for c in carry])
+        seen = [c for c in state.columns if c not in ("id", "height")]
+        onward = state.select(F.col("to").alias("next"), F.col("id").alias("to"), F.lit(True).alias("known"), *[F.col(c).alias("next_" + c) for c in seen if c != "to"])
+        ahead, arrivals, length = state, [], (HOPS + 1) ** k
+        for j in range(1, HOPS + 1):
+            arrivals.append(ahead.where("to is not null").select(F.col("to").alias("id"), (F.col("height") + j * length).alias("from_above")))
+            joined = ahead.join(onward, "to", "left")
+            ahead = joined.select(
+                "id", F.col("next").alias("to"), F.coalesce("next_last", "to", "last").alias("last"), "height",
+                *[c for m in marks for c in (F.coalesce("next_" + m, m).alias(m), F.when(F.col("next_" + m).isNotNull(), F.col("next_at_" + m) + j * length).otherwise(F.col("at_" + m)).alias("at_" + m))],
+                *[F.when(F.col("known") | F.col("to").isNull(), F.when(F.col("known"), F.col("next_root_" + c)).otherwise(F.col("root_" + c))).alias("root_" + c) for c in carry],
+            )
+        if with_height:
+            reached = reduce(DataFrame.unionByName, arrivals).groupBy("id").agg(F.max("from_above").alias("from_above"))
+            ahead = ahead.join(reached, "id", "left").withColumn("height", F.greatest("height", F.coalesce("from_above", F.lit(0)))).drop("from_above")
+        state = scratch(ahead.select(*state.columns), f"flow-{k + 1}")
+    raise CycleError("downstream pointers form a cycle")
+
+
 def roots(network: DataFrame, id_col: str = "LINKNO", ds_col: str = "DSLINKNO") -> DataFrame:
     """``id, root`` for every segment: the outlet of its tree, itself for an outlet."""
-    ends = resolve_chains(edges(network, id_col, ds_col))
-    return network.select(F.col(id_col).alias("id")).join(ends, "id", "left").select("id", F.coalesce("final", "id").alias("root"))
+    return flow(network, id_col=id_col, ds_col=ds_col)
 
 
 def last_marked(network: DataFrame, marked: DataFrame) -> DataFrame:
     """``id, mark``: the marked segment (``id``) farthest down the path from each id,
     the id itself included; ids without one are left out."""
-    marks = marked.select("id", F.col("id").alias("mark"))
-    nodes = network.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") != OUTLET, F.col("DSLINKNO")).alias("to"))
-    state = scratch(nodes.join(marks, "id", "left"), "mark-0")
-    for k in range(_rounds(state.count())):
-        if state.where("to is not null").isEmpty():
-            return state.where("mark is not null").select("id", "mark")
-        onward = state.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("mark").alias("below"))
-        ahead = state
-        for _ in range(HOPS):
-            ahead = ahead.join(onward, "to", "left").select("id", F.col("next").alias("to"), F.coalesce("below", "mark").alias("mark"))
-        state = scratch(ahead, f"mark-{k + 1}")
-    raise CycleError("downstream pointers form a cycle")
+    named = network.join(marked.select(F.col("id").alias("LINKNO"), F.lit(True).alias("mark")).distinct(), "LINKNO", "left")
+    return flow(named, marks=("mark",)).where("mark is not null").select("id", "mark")
 
 
 def heights(network: DataFrame) -> DataFrame:
     """``id, height``: edges on the longest path from a headwater down to each id."""
-    state = scratch(network.select(F.col("LINKNO").alias("id"), F.when(F.col("DSLINKNO") != OUTLET, F.col("DSLINKNO")).alias("to"), F.lit(0).cast("long").alias("height")), "height-0")
-    for k in range(_rounds(state.count())):
-        if state.where("to is not null").isEmpty():
-            return state.select("id", "height")
-        # where each id gets to by one, two and three pointers, and the length of the way
-        onward = state.select(F.col("id").alias("to"), F.col("to").alias("next"))
-        ahead, arrivals, length = state, None, (HOPS + 1) ** k
-        for j in range(1, HOPS + 1):
-            here = ahead.where("to is not null").select(F.col("to").alias("id"), (F.col("height") + j * length).alias("from_above"))
-            arrivals = here if arrivals is None else arrivals.unionByName(here)
-            ahead = ahead.join(onward, "to", "left").select("id", F.col("next").alias("to"), "height")
-        reached = arrivals.groupBy("id").agg(F.max("from_above").alias("from_above"))
-        state = scratch(ahead.join(reached, "id", "left").select("id", "to", F.greatest("height", F.coalesce("from_above", F.lit(0))).alias("height")), f"height-{k + 1}")
-    raise CycleError("downstream pointers form a cycle")
+    return flow(network, with_height=True).select("id", "height")
 
 
 def ancestor_pairs(network: DataFrame) -> DataFrame:

@@ -30,7 +30,19 @@ def numbered(rows: DataFrame, order: list[str], name: str = "numbered") -> tuple
 def numbered_by_group(rows: DataFrame, group: str, order: list[str], column: str, name: str = "numbered") -> DataFrame:
     """``rows`` with ``column`` 1..n in the given order within each group.
 
-    The number of groups must be small (regions); their offsets are broadcast."""
-    every, _ = numbered(rows, [group, *order], name)
-    first = every.groupBy(group).agg(F.min("row_number").alias("__first"))
-    return every.join(F.broadcast(first), group).withColumn(column, F.col("row_number") - F.col("__first") + 1).drop("row_number", "__first")
+    The number of groups must be small (regions): one count for each group and range
+    partition reaches the driver, and their offsets are broadcast. A null group is a
+    group of its own."""
+    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    ranged = scratch(ranged.withColumn("__pos", F.monotonically_increasing_id()), name)
+    part = F.shiftright("__pos", 33)
+    pieces = ranged.groupBy(part.alias("__part"), F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias("n"), F.min("__pos").alias("first")).collect()
+    before: dict = {}
+    shifts = []
+    for r in sorted(pieces, key=lambda r: r["first"]):
+        shifts.append((r["__part"], r["__group"], before.get(r["__group"], 0) - r["first"] + 1))
+        before[r["__group"]] = before.get(r["__group"], 0) + r["n"]
+    kind = ranged.schema[group].dataType.simpleString()
+    offsets = rows.sparkSession.createDataFrame(shifts, f"__part long, __group {kind}, __shift long")
+    joined = ranged.join(F.broadcast(offsets), (part == F.col("__part")) & F.col(group).eqNullSafe(F.col("__group")))
+    return joined.withColumn(column, F.col("__pos") + F.col("__shift")).select(*rows.columns, column)

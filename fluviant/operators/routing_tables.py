@@ -35,6 +35,16 @@ def label_watersheds(network: DataFrame, graph: DataFrame) -> DataFrame:
     return labeled.select(*network.columns, label.alias("TerminalLink"))
 
 
+def label_by_root(network: DataFrame) -> DataFrame:
+    """``network`` with ``TerminalLink``, which is its column ``root``; raises for a segment
+    that drains into an id that is not there, as all upstream of it have no outlet then."""
+    ids = network.select(F.col("LINKNO").alias("DSLINKNO"), F.lit(True).alias("known"))
+    joined = network.join(ids, "DSLINKNO", "left")
+    missing = (F.col("DSLINKNO") != OUTLET) & F.col("known").isNull()
+    label = F.when(missing, F.raise_error(F.concat(F.lit("no outlet for segment "), F.col("LINKNO").cast("string"))).cast("long")).otherwise(F.col("root"))
+    return joined.select(*network.columns, label.alias("TerminalLink"))
+
+
 def connectivity(network: DataFrame, order: list[str] | None = None) -> DataFrame:
     """``HydroID, NextDownID, CountUpstreamID, UpstreamIDs``: upstream ids as an array in
     the order of the frame (``TopologicalOrder``, then id)."""

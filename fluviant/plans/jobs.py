@@ -90,9 +90,9 @@ def ingest_layers(layers: dict[str, DataFrame], headers: DataFrame, store: Store
 
 def write_master(made: Master, store: Store, group: str) -> None:
     """The master tables by region, the altered lines, and the change logs of one group."""
-    table = scratch(made.table, "master")
-    table.drop("geometry").write.mode("overwrite").partitionBy("TDXHydroRegion").parquet(store(group, "master"))
-    write_geoparquet(table.select("LINKNO", "TDXHydroRegion", "geometry"), store(group, "altered_network"), partition_by="TDXHydroRegion")
+    made.table.write.mode("overwrite").partitionBy("TDXHydroRegion").parquet(store(group, "master"))
+    lines = made.lines.join(made.table.select("LINKNO", "TDXHydroRegion"), "LINKNO").select("LINKNO", "TDXHydroRegion", "geometry")
+    write_geoparquet(lines, store(group, "altered_network"), partition_by="TDXHydroRegion")
     logs = {"mod_zero_length_streams": made.zero_length, "mod_basin_zero_centroid": made.zero_centroid, "mod_drop_small_trees": made.small_trees, "mod_prune_streams": made.pruned, "mod_merge_short_streams": made.merged}
     for name, rows in logs.items():
         if rows is not None:

@@ -10,10 +10,11 @@ from ..functions.lines import line_centroid
 from ..functions.routing import last_plus_max_of_others, scaled_mean
 from ..functions.simplify import simplify_line
 from ..operators import clean, graph, routing_tables, simplify, validate, weights
+from ..schema import MIN_DRAINAGE_AREA_M2
 from ..session import scratch, ship_package
 from ..sources.header_numbers import header_numbers
 from . import fixtures
-from .master import Options, region_master
+from .master import Network, Options, dissolved, prepare, region_master
 
 
 def _digits(value: Column, n: int) -> Column:
@@ -22,28 +23,24 @@ def _digits(value: Column, n: int) -> Column:
 
 
 def _repaired(spark: SparkSession, d: str) -> DataFrame:
-    streams = fixtures.streams(spark, d)
+    streams = fixtures.streams(spark, d).drop("geometry")
     return scratch(clean.repair_zero_length(streams, clean.zero_length_classes(streams)), "repaired")
 
 
-def _ordered(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(network in order without small watersheds, graph)."""
-    repaired = _repaired(spark, d)
-    ordered = scratch(clean.topological_order(repaired), "ordered")
-    return clean.drop_segments(ordered, clean.small_watersheds(ordered)), repaired.select("LINKNO", "DSLINKNO")
+def _dissolved(spark: SparkSession, d: str, order: int) -> tuple[DataFrame, Network]:
+    """(network without small watersheds, dissolved for orders 2 to ``order``; all that is known of it)."""
+    net = prepare(fixtures.streams(spark, d))
+    return dissolved(net, order, MIN_DRAINAGE_AREA_M2)[0], net
 
 
-def _dissolved(spark: SparkSession, d: str, passes: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
-    network, links = _ordered(spark, d)
-    for m in passes:
-        labels = scratch(simplify.headwater_labels(links, simplify.headwater_candidates(network, links, m)), "labels")
-        network = scratch(simplify.dissolve_headwaters(network, labels), "dissolved")
-    return network, links
+def _prune_pairs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    network, net = _dissolved(spark, d, 2)
+    network = scratch(network, "dissolved")
+    return network, simplify.prune_pairs(network, net.graph, net.lines_of(2))
 
 
 def _pruned(spark: SparkSession, d: str) -> DataFrame:
-    network, links = _dissolved(spark, d, (2,))
-    return simplify.prune_branches(network, simplify.prune_pairs(network, links))
+    return simplify.prune_branches(*_prune_pairs(spark, d))
 
 
 def _routed(spark: SparkSession, d: str) -> DataFrame:
@@ -52,8 +49,8 @@ def _routed(spark: SparkSession, d: str) -> DataFrame:
 
 def _masters(spark: SparkSession, d: str) -> DataFrame:
     """Master rows without simplification: repaired, ordered, routed, labelled."""
-    network = scratch(routing_tables.muskingum(clean.topological_order(_repaired(spark, d)), fixtures.lakes(spark, d)), "routed")
-    return routing_tables.label_watersheds(network, network.select("LINKNO", "DSLINKNO"))
+    network = scratch(routing_tables.muskingum(prepare(fixtures.streams(spark, d)).table, fixtures.lakes(spark, d)), "routed")
+    return routing_tables.label_by_root(network)
 
 
 def global_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -71,8 +68,8 @@ def zero_length_repair(spark: SparkSession, d: str) -> DataFrame:
 def basins_repaired(spark: SparkSession, d: str) -> DataFrame:
     streams = fixtures.streams(spark, d)
     classes = clean.zero_length_classes(streams)
-    ordered = clean.topological_order(clean.repair_zero_length(streams, classes))
-    kept = clean.repair_basins(fixtures.basins(spark, d), classes, clean.small_watersheds(ordered), clean.zero_id_centroid(streams))
+    small = clean.small_watersheds(clean.repair_zero_length(streams.drop("geometry"), classes))
+    kept = clean.repair_basins(fixtures.basins(spark, d), classes, small, clean.zero_id_centroid(streams))
     return kept.select("LINKNO")
 
 
@@ -85,33 +82,36 @@ def ancestor_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def small_watersheds_dropped(spark: SparkSession, d: str) -> DataFrame:
-    return _ordered(spark, d)[0].select("LINKNO", "DSLINKNO", "TopologicalOrder")
+    return _dissolved(spark, d, 1)[0].select("LINKNO", "DSLINKNO", "TopologicalOrder")
 
 
 def headwater_candidates_o2(spark: SparkSession, d: str) -> DataFrame:
-    network, links = _ordered(spark, d)
-    return simplify.headwater_candidates(network, links, 2)
+    network, net = _dissolved(spark, d, 1)
+    return simplify.headwater_candidates(network, net.graph, 2)
 
 
 def headwater_candidates_o3(spark: SparkSession, d: str) -> DataFrame:
-    network, links = _dissolved(spark, d, (2,))
-    return simplify.headwater_candidates(network, links, 3)
+    network, net = _dissolved(spark, d, 2)
+    return simplify.headwater_candidates(network, net.graph, 3)
 
 
-def _shape(network: DataFrame) -> DataFrame:
-    return network.select("LINKNO", "DSLINKNO", "strmOrder", "TopologicalOrder", _digits(F.col("USContArea"), 0).alias("USContArea"), F.size("geometry").cast("long").alias("n_lines"))
+def _shape(spark: SparkSession, d: str, order: int) -> DataFrame:
+    """The dissolved network with the number of lines each segment has then."""
+    network, net = _dissolved(spark, d, order)
+    lines = net.lines_of(order).groupBy("LINKNO").agg(F.sum(F.size("geometry")).cast("long").alias("n_lines"))
+    return network.join(lines, "LINKNO").select("LINKNO", "DSLINKNO", "strmOrder", "TopologicalOrder", _digits(F.col("USContArea"), 0).alias("USContArea"), "n_lines")
 
 
 def headwaters_dissolved_o2(spark: SparkSession, d: str) -> DataFrame:
-    return _shape(_dissolved(spark, d, (2,))[0])
+    return _shape(spark, d, 2)
 
 
 def headwaters_dissolved_o3(spark: SparkSession, d: str) -> DataFrame:
-    return _shape(_dissolved(spark, d, (2, 3))[0])
+    return _shape(spark, d, 3)
 
 
 def prune_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return simplify.prune_pairs(*_dissolved(spark, d, (2,)))
+    return _prune_pairs(spark, d)[1]
 
 
 def branches_pruned(spark: SparkSession, d: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """The network operators on the 40-segment template: one block, ids as slots."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from fluviant.operators import clean, graph, routing_tables, simplify
 from fluviant.plans import fixtures
-from fluviant.plans.master import Options, options_by_region, region_master, run_regions
+from fluviant.plans.master import Options, dissolved, options_by_region, prepare, region_master, run_regions
+from fluviant.session import scratch
 
 BASE = 11 * 10_000_000
 CANDIDATES_2, CANDIDATES_3 = {3, 4, 16, 17, 24}, {1, 2, 15}
@@ -23,10 +26,10 @@ def block(spark, tmp_path_factory):
 def cleaned(spark, block):
     """(ordered network without the trees named small in the template's golden values, graph)."""
     streams = fixtures.streams(spark, block)
-    repaired = clean.repair_zero_length(streams, clean.zero_length_classes(streams)).localCheckpoint()
-    ordered = clean.topological_order(repaired)
+    repaired = scratch(clean.repair_zero_length(streams, clean.zero_length_classes(streams)), "repaired")
+    ordered = scratch(clean.topological_order(repaired), "ordered")
     areas = ordered.withColumn("DSContArea", F.when(F.col("LINKNO").isin([BASE + s for s in (34, 35, 37)]), 1e8).otherwise(F.col("DSContArea")))
-    return clean.drop_segments(ordered, clean.small_watersheds(areas)).localCheckpoint(), repaired.select("LINKNO", "DSLINKNO")
+    return scratch(clean.drop_segments(ordered, clean.small_watersheds(areas)), "cleaned"), repaired.select("LINKNO", "DSLINKNO")
 
 
 def slots(df, column="LINKNO"):
@@ -82,7 +85,7 @@ def test_candidates_and_survivors(cleaned):
     network, links = cleaned
     found = simplify.headwater_candidates(network, links, 2)
     assert slots(found, "id") == CANDIDATES_2
-    two = simplify.dissolve_headwaters(network, simplify.headwater_labels(links, found)).localCheckpoint()
+    two = scratch(simplify.dissolve_headwaters(network, simplify.headwater_labels(links, found)), "two")
     assert slots(two) == {0, 1, 2, 3, 4, 10, 11, 12, 13, 14, 15, 16, 17, 18, 23, 24, 31}
     found = simplify.headwater_candidates(two, links, 3)
     assert slots(found, "id") == CANDIDATES_3
@@ -108,7 +111,7 @@ def test_headwater_rule(spark, order, n, highest, n_below, expected):
 
 def test_prune_takes_higher_order_then_nearest(cleaned):
     network, links = cleaned
-    two = simplify.dissolve_headwaters(network, simplify.headwater_labels(links, simplify.headwater_candidates(network, links, 2))).localCheckpoint()
+    two = scratch(simplify.dissolve_headwaters(network, simplify.headwater_labels(links, simplify.headwater_candidates(network, links, 2))), "two")
     found = simplify.prune_pairs(two, links)
     assert pairs(found) == {(13, 11), (13, 12), (1, 10), (24, 31), (17, 18)}
     assert slots(simplify.prune_branches(two, found)) == {0, 1, 2, 3, 4, 13, 14, 15, 16, 17, 23, 24}
@@ -166,6 +169,48 @@ def test_deep_chain_and_cycles(spark):
             question(circle)
 
 
+def test_one_walk_tells_what_the_steps_tell(spark, tmp_path):
+    """Random trees with random orders, so that rules meet in ways no real network has."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(1500):
+        down = -1 if i < 60 or rng.random() < 0.02 else rng.randrange(max(0, i - 400), i)
+        rows.append((i, down, rng.choice((1, 1, 1, 2, 2, 3)), rng.choice((1e8, 3e8)), float(rng.randint(1, 99)) if rng.random() < 0.98 else None))
+    line = "array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 1D, 'y', 0D)))"
+    streams = spark.createDataFrame(rows, "LINKNO long, DSLINKNO long, strmOrder int, DSContArea double, USContArea double")
+    streams = scratch(streams.withColumns({"LengthGeodesicMeters": F.lit(5.0), "TDXHydroRegion": (F.col("LINKNO") % 3).cast("string"), "geometry": F.expr(line)}), "random")
+    net = prepare(streams)
+    assert net.table.count() == sum(r[4] is not None for r in rows) < 1500
+    ordered = scratch(clean.topological_order(streams.drop("geometry")), "ordered")
+    columns = ["LINKNO", "TopologicalOrder"]
+    assert sorted(map(tuple, net.table.select(*columns).collect())) == sorted(map(tuple, ordered.select(*columns).collect()))
+    small = {r[0] for r in clean.small_watersheds(streams, 2e8).collect()}
+    links = streams.select("LINKNO", "DSLINKNO")
+    step = scratch(ordered.join(spark.createDataFrame([(x,) for x in small], "LINKNO long"), "LINKNO", "left_anti"), "step")
+    for m in (2, 3):
+        labels = simplify.headwater_labels(links, simplify.headwater_candidates(step, links, m))
+        network, passes = dissolved(net, m, 2e8)
+        kept = {tuple(r) for r in labels.collect()}
+        assert {tuple(r) for r in passes[-1].collect()} == kept and len(kept) > 20
+        step = scratch(simplify.dissolve_headwaters(step, labels), "step")
+        shape = ["LINKNO", "DSLINKNO", "strmOrder", "USContArea", "DSContArea"]
+        assert {tuple(r) for r in network.select(*shape).collect()} == {tuple(r) for r in step.select(*shape).collect()}
+
+
+def test_flow_of_loose_ends_and_values_of_roots(spark):
+    rows = spark.createDataFrame([(1, 2, True, 5.0), (2, 9, False, 6.0), (3, -1, False, 7.0), (4, 3, True, None), (5, 4, True, 8.0)], "LINKNO long, DSLINKNO long, m boolean, a double")
+    found = {r["id"]: (r["root"], r["m"], r["at_m"], r["root_a"], r["height"]) for r in graph.flow(rows, ("m",), ("a",), True).collect()}
+    assert found == {1: (9, 1, 0, None, 0), 2: (9, None, None, None, 1), 3: (3, None, None, 7.0, 2), 4: (3, 4, 0, 7.0, 1), 5: (3, 4, 1, 7.0, 0)}
+    assert graph.flow(rows.limit(0), ("m",)).isEmpty()
+
+
+def test_null_regions_are_numbered_on_their_own(spark):
+    from fluviant.operators.numbering import numbered_by_group
+
+    rows = spark.createDataFrame([("a", 3), (None, 1), ("a", 1), (None, 2), ("b", 9)], "g string, x int")
+    assert {tuple(r) for r in numbered_by_group(rows, "g", ["x"], "n").collect()} == {("a", 1, 1), ("a", 3, 2), (None, 1, 1), (None, 2, 2), ("b", 9, 1)}
+
+
 def test_last_marked_is_the_farthest_downstream(spark):
     chain = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, -1)], "LINKNO long, DSLINKNO long")
     marks = spark.createDataFrame([(2,), (3,)], "id long")
