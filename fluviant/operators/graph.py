@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import OUTLET
-from ..session import scratch
+from ..session import discard, scratch
 
 
 #: Joins of a round; a pointer gets one more than this times as long.
@@ -44,13 +44,13 @@ def resolve_chains(links: DataFrame) -> DataFrame:
     state = scratch(links.select("id", "target"), "chain-0")
     for k in range(_rounds(state.count())):
         onward = state.select(F.col("id").alias("target"), F.col("target").alias("next"))
-        ahead = state
+        ahead = state.select("id", "target")
         for _ in range(HOPS):
             ahead = ahead.join(onward, "target", "left").select("id", F.coalesce("next", "target").alias("target"), F.col("next").isNull().alias("done"))
-        state = scratch(ahead, f"chain-{k + 1}")
+        state, before = scratch(ahead, f"chain-{k + 1}"), state
+        discard(before)
         if state.where("not done").isEmpty():
             return state.select("id", F.col("target").alias("final"))
-        state = state.select("id", "target")
     raise CycleError("downstream pointers form a cycle")
 
 
@@ -90,7 +90,8 @@ def flow(network: DataFrame, marks: tuple[str, ...] = (), carry: tuple[str, ...]
         if with_height:
             reached = reduce(DataFrame.unionByName, arrivals).groupBy("id").agg(F.max("from_above").alias("from_above"))
             ahead = ahead.join(reached, "id", "left").withColumn("height", F.greatest("height", F.coalesce("from_above", F.lit(0)))).drop("from_above")
-        state = scratch(ahead.select(*state.columns), f"flow-{k + 1}")
+        state, before = scratch(ahead.select(*state.columns), f"flow-{k + 1}"), state
+        discard(before)
     raise CycleError("downstream pointers form a cycle")
 
 
@@ -120,7 +121,10 @@ def ancestor_pairs(network: DataFrame) -> DataFrame:
             return pairs
         beyond = step.select(F.col("id").alias("start"), F.col("target").alias("ancestor")).join(pairs, "ancestor")
         beyond = beyond.select(F.col("start").alias("ancestor"), "LINKNO", (F.col("distance") + (1 << k)).alias("distance"))
-        pairs = scratch(pairs.unionByName(beyond), f"pairs-{k + 1}")
+        longer = scratch(pairs.unionByName(beyond), f"pairs-{k + 1}")
         onward = step.select(F.col("id").alias("target"), F.col("target").alias("next"))
-        step = scratch(step.join(onward, "target").select("id", F.col("next").alias("target")), f"jump-{k + 1}")
+        further = scratch(step.join(onward, "target").select("id", F.col("next").alias("target")), f"jump-{k + 1}")
+        discard(pairs)
+        discard(step)
+        pairs, step = longer, further
     raise CycleError("downstream pointers form a cycle")

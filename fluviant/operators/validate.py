@@ -28,6 +28,16 @@ def outputs_valid(files: dict[str, DataFrame], weights: dict[str, DataFrame], id
     return counts.agg(F.count(F.lit(1)).alias("n_tables"), F.min("n").alias("least"), F.max("n").alias("most"), valid.alias("valid"))
 
 
+def units_valid(counts: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """``unit, n_files, least, most, valid`` from ``unit, name, n``: the rivers each file of a unit has.
+
+    Valid is a unit with all ``required`` files and a weight table, all counts being equal."""
+    there = F.count_if(F.col("name").isin(list(required))) == len(required)
+    weighted = F.count_if(F.col("name").startswith("weight_")) > 0
+    valid = there & weighted & (F.min("n") == F.max("n"))
+    return counts.groupBy("unit").agg(F.count(F.lit(1)).alias("n_files"), F.min("n").alias("least"), F.max("n").alias("most"), valid.alias("valid"))
+
+
 def slim_tables_present(names: DataFrame) -> DataFrame:
     """``name, has_slim`` for each full weight file among ``names`` (column ``name``)."""
     full = names.where(F.col("name").startswith("weight_") & F.col("name").endswith("_full.csv"))

@@ -1,7 +1,8 @@
 """A river network stamped from the driver's ``orders`` table.
 
 A template of 40 segments is repeated for each block of 40 orders; lengths come
-from the order's price. ``SQL`` holds the same tables for DuckDB.
+from the order's price. The last block may be short: a segment whose parent it lacks
+is an outlet. ``SQL`` holds the same tables for DuckDB.
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ def _y(block: Column, slot: Column) -> Column:
 
 
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks, slots and template values of all whole blocks of ``orders``."""
+    """Blocks, slots and template values of all ``orders``."""
     orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice"))
-    blocks = orders.count() // len(TEMPLATE)
+    n = orders.count()
     shape = spark.createDataFrame(TEMPLATE, "slot long, parent long, strmOrder int, magn long, zero int")
-    rows = orders.withColumn("b", F.floor(F.col("o_orderkey") / 40)).where(F.col("b") < blocks).withColumn("slot", F.col("o_orderkey") % 40)
-    return rows.join(F.broadcast(shape), "slot").withColumn("h", 11 + F.col("b") % 5)
+    rows = orders.withColumn("b", F.floor(F.col("o_orderkey") / 40)).withColumn("slot", F.col("o_orderkey") % 40).join(F.broadcast(shape), "slot")
+    there = 40 * F.col("b") + F.col("parent") < n
+    return rows.withColumns({"parent": F.when(there, F.col("parent")).otherwise(F.lit(-1).cast("long")), "h": 11 + F.col("b") % 5})
 
 
 def raw_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +79,44 @@ def basins(spark: SparkSession, sf_dir: str, half_width: float = HALF_WIDTH) ->
     return stamped(spark, sf_dir).select(link.alias("LINKNO"), box(_x(b, slot), _y(b, slot), half_width).alias("geometry"))
 
 
+def elbow_basins(spark: SparkSession, sf_dir: str, radius: float = 0.2) -> DataFrame:
+    """Concave basins: a square around each segment's position without its north-east quarter."""
+    b, slot = F.col("b"), F.col("slot")
+    x, y, r = _x(b, slot), _y(b, slot), radius
+    ring = [(x - r, y - r), (x + r, y - r), (x + r, y), (x, y), (x, y + r), (x - r, y + r), (x - r, y - r)]
+    link = F.col("h") * 10_000_000 + F.col("o_orderkey")
+    return stamped(spark, sf_dir).select(link.alias("LINKNO"), F.array(F.array(*[point(a, c) for a, c in ring])).alias("geometry"))
+
+
+def meridian_basins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Square basins on both sides of the zero meridian."""
+    b, slot = F.col("b"), F.col("slot")
+    return stamped(spark, sf_dir).select(F.col("o_orderkey").alias("LINKNO"), box((_x(b, slot) + 120) / 100 - 0.1, _y(b, slot), HALF_WIDTH).alias("geometry"))
+
+
+def price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``b, geometry``: a line of up to 40 points for each block, its ordinates the orders' prices."""
+    rows = stamped(spark, sf_dir).select("b", "slot", (F.col("slot") * 0.01).alias("x"), (F.col("o_totalprice") / 1e6).alias("y"))
+    points = F.transform(F.sort_array(F.collect_list(F.struct("slot", "x", "y"))), lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
+    return rows.groupBy("b").agg(F.array(points).alias("geometry"))
+
+
+def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path through all customers, each draining into the next; every seventh is marked."""
+    keys = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").cast("long").alias("LINKNO"))
+    last = keys.agg(F.max("LINKNO")).first()[0]
+    return keys.select("LINKNO", F.when(F.col("LINKNO") == last, F.lit(-1).cast("long")).otherwise(F.col("LINKNO") + 1).alias("DSLINKNO"), (F.col("LINKNO") % 7 == 3).alias("mark"))
+
+
+def star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suppliers draining into the first, their order shuffled."""
+    key = F.col("s_suppkey").cast("long")
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(key.alias("LINKNO"))
+    first = rows.agg(F.min("LINKNO")).first()[0]
+    down = F.when(F.col("LINKNO") == first, F.lit(-1)).otherwise(F.lit(first)).cast("long")
+    return rows.select("LINKNO", down.alias("DSLINKNO"), (F.col("LINKNO") * 7 % 1009).alias("TopologicalOrder"))
+
+
 def lakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stamped(spark, sf_dir).where((F.col("b") % 3 == 0) & F.col("slot").isin(14, 23))
     return rows.select((F.col("h") * 10_000_000 + F.col("o_orderkey")).alias("LINKNO"))
@@ -103,8 +143,9 @@ _ROWS = ", ".join(str(r) for r in TEMPLATE)
 SQL = f"""
     tmpl(slot, parent, so, magn, zero) AS (VALUES {_ROWS}),
     reg(h, region) AS (VALUES (11, '1020000010'), (12, '1020011530'), (13, '1020018110'), (14, '1020021940'), (15, '1020027430')),
-    st AS (SELECT o.o_orderkey AS k, o.o_totalprice AS price, o.o_orderkey // 40 AS b, o.o_orderkey % 40 AS i, t.parent, t.so, t.magn, t.zero, 11 + (o.o_orderkey // 40) % 5 AS h
-           FROM orders o JOIN tmpl t ON t.slot = o.o_orderkey % 40 WHERE o.o_orderkey // 40 < (SELECT count(*) // 40 FROM orders)),
+    st AS (SELECT o.o_orderkey AS k, o.o_totalprice AS price, o.o_orderkey // 40 AS b, o.o_orderkey % 40 AS i,
+                  CASE WHEN 40 * (o.o_orderkey // 40) + t.parent < (SELECT count(*) FROM orders) THEN t.parent ELSE -1 END AS parent, t.so, t.magn, t.zero, 11 + (o.o_orderkey // 40) % 5 AS h
+           FROM orders o JOIN tmpl t ON t.slot = o.o_orderkey % 40),
     streams AS (SELECT CAST(h * 10000000 + k AS BIGINT) AS LINKNO, CAST(CASE WHEN parent = -1 THEN -1 ELSE h * 10000000 + 40 * b + parent END AS BIGINT) AS DSLINKNO,
                        so AS strmOrder, CAST(magn AS BIGINT) AS Magnitude, (magn - 1) * 6e7 * (10 + b % 7) / 10 AS USContArea, magn * 6e7 * (10 + b % 7) / 10 AS DSContArea,
                        CASE WHEN zero = 1 THEN 1e-2 ELSE price / 500e0 END AS LengthGeodesicMeters, region AS TDXHydroRegion, b, i,

@@ -133,6 +133,72 @@ _FLAT = "flat AS (SELECT r.*, t.TerminalLink FROM routed r JOIN term t USING (LI
 _SHAPE = "LINKNO, DSLINKNO, strmOrder, TopologicalOrder, round_even(USContArea, 0) AS USContArea, n_lines"
 _LEVELS = f"{_r('USContArea', 3, 'USContArea')}, {_r('DSContArea', 3, 'DSContArea')}, {_r('LengthGeodesicMeters', 3, 'LengthGeodesicMeters')}"
 
+#: Both axes of the grid with their wrapped coordinates.
+_GRID = (
+    "ax AS (SELECT 'lon' AS axis, CAST(j AS INTEGER) AS idx, j * 0.25e0 AS coord, CASE WHEN j * 0.25e0 > 180 THEN j * 0.25e0 - 360 ELSE j * 0.25e0 END AS c FROM range(1440) t(j) "
+    "UNION ALL SELECT 'lat', CAST(j AS INTEGER), 90e0 - j * 0.25e0, 90e0 - j * 0.25e0 FROM range(721) t(j))"
+)
+
+_F = "(1e0 / 298.257223563e0)"
+
+#: Vincenty's inverse formula between the ends of each line, a fixed number of rounds.
+_VINCENTY = f"""
+    g0 AS (SELECT LINKNO, radians(px - x) AS span, atan((1 - {_F}) * tan(radians(y))) AS u1, atan((1 - {_F}) * tan(radians(py))) AS u2 FROM streams WHERE x <> px OR y <> py),
+    it(LINKNO, span, u1, u2, lam, n) AS (
+        SELECT LINKNO, span, u1, u2, span, 0 FROM g0
+        UNION ALL SELECT LINKNO, span, u1, u2, span + (1 - c) * {_F} * sa * (sigma + c * ss * (c2m + c * cs * (2 * c2m * c2m - 1))), n + 1
+        FROM (SELECT *, {_F} / 16 * c2a * (4 + {_F} * (4 - 3 * c2a)) AS c FROM (SELECT *, cs - 2 * sin(u1) * sin(u2) / c2a AS c2m FROM (SELECT *, 1 - sa * sa AS c2a, atan2(ss, cs) AS sigma FROM (
+              SELECT *, cos(u1) * cos(u2) * sin(lam) / ss AS sa FROM (
+              SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it WHERE n < 8))))) ),
+    vin AS (SELECT LINKNO, 6356752.314245179e0 * (1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))) * (sigma - m * ss * (c2m + m / 4 * (cs * (2 * c2m * c2m - 1) - m / 6 * c2m * (4 * ss * ss - 3) * (4 * c2m * c2m - 3)))) AS len
+            FROM (SELECT *, u / 1024 * (256 + u * (-128 + u * (74 - 47 * u))) AS m FROM (SELECT *, cs - 2 * sin(u1) * sin(u2) / c2a AS c2m, c2a * (pow(6378137e0, 2) - pow(6356752.314245179e0, 2)) / pow(6356752.314245179e0, 2) AS u
+                  FROM (SELECT *, 1 - sa * sa AS c2a, atan2(ss, cs) AS sigma FROM (SELECT *, cos(u1) * cos(u2) * sin(lam) / ss AS sa FROM (
+                  SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it WHERE n = 8))))))"""
+
+#: Line simplification: a stretch is split at its farthest point while that is too far off.
+_SIMPLIFY = """
+    pts AS (SELECT b, list(price / 1e6 ORDER BY i) AS ys, count(*) AS n FROM st GROUP BY b),
+    stretch(b, lo, hi) AS (
+        SELECT b, CAST(1 AS BIGINT), n FROM pts
+        UNION ALL SELECT b, h.lo, h.hi FROM (SELECT b, unnest([{lo: lo, hi: -far.k}, {lo: -far.k, hi: hi}]) AS h FROM (
+            SELECT s.b, s.lo, s.hi, list_max(list_transform(range(s.lo + 1, s.hi), lambda k: {
+                d: sqrt(pow((k - s.lo) * 1e-2 - t(k, s.lo, s.hi, ys) * (s.hi - s.lo) * 1e-2, 2) + pow(ys[k] - ys[s.lo] - t(k, s.lo, s.hi, ys) * (ys[s.hi] - ys[s.lo]), 2)), k: -k})) AS far
+            FROM stretch s JOIN pts USING (b) WHERE s.hi - s.lo > 1) WHERE far.d > 5e-2))"""
+
+
+def _along(k: str, lo: str, hi: str) -> str:
+    """Where on the way from one point to another a third one is nearest, between 0 and 1."""
+    dx, dy = f"(({hi} - {lo}) * 1e-2)", f"(ys[{hi}] - ys[{lo}])"
+    return f"least(greatest((({k} - {lo}) * 1e-2 * {dx} + (ys[{k}] - ys[{lo}]) * {dy}) / ({dx} * {dx} + {dy} * {dy}), 0e0), 1e0)"
+
+
+_SIMPLIFY = _SIMPLIFY.replace("t(k, s.lo, s.hi, ys)", _along("k", "s.lo", "s.hi"))
+
+#: Concave basins: what a cell shares with the square less what it shares with the quarter.
+_ELBOW = (
+    _axes("0.25e0", _MARGIN)
+    + f""",
+    elbow AS (SELECT LINKNO, x, y, x - 2e-1 AS x0, x + 2e-1 AS x1, y - 2e-1 AS y0, y + 2e-1 AS y1 FROM streams),
+    cut AS (SELECT LINKNO, xs.idx AS lon_index, ys.idx AS lat_index, (xs.lo + xs.hi) / 2 AS lon, (ys.lo + ys.hi) / 2 AS lat,
+                   greatest(x0, xs.lo) AS a0, least(x1, xs.hi) AS a1, greatest(y0, ys.lo) AS b0, least(y1, ys.hi) AS b1, greatest(x, xs.lo) AS c0, greatest(y, ys.lo) AS d0
+            FROM elbow JOIN xs ON xs.lo < x1 AND xs.hi > x0 JOIN ys ON ys.lo < y1 AND ys.hi > y0),
+    weights AS (SELECT LINKNO, lon_index, lat_index, lon, lat, {_rect("a0", "a1", "b0", "b1")} - CASE WHEN c0 < a1 AND d0 < b1 THEN {_rect("c0", "a1", "d0", "b1")} ELSE 0 END AS area_sqm
+                FROM cut WHERE NOT (c0 = a0 AND d0 = b0 AND c0 < a1 AND d0 < b1))"""
+)
+
+#: The content of a unit's files, line by line in the order of its rivers.
+_UNIT_FILES = """
+    master AS (SELECT f.*, VPUCode FROM flat f JOIN vpu USING (TerminalLink)),
+    width AS (SELECT VPUCode, max(n) AS w FROM (SELECT VPUCode, DSLINKNO, count(*) FILTER (WHERE DSLINKNO <> -1) AS n FROM master GROUP BY VPUCode, DSLINKNO) GROUP BY VPUCode),
+    up AS (SELECT DSLINKNO AS LINKNO, list(LINKNO ORDER BY TopologicalOrder, LINKNO) AS ids FROM master WHERE DSLINKNO <> -1 GROUP BY DSLINKNO),
+    line AS (SELECT VPUCode, TopologicalOrder, m.LINKNO, musk_k, musk_x, m.LINKNO || ',' || DSLINKNO || ',' || coalesce(len(ids), 0)
+                    || CASE WHEN w > 0 THEN ',' || array_to_string(list_resize(coalesce(ids, []), w, 0), ',') ELSE '' END AS connect
+             FROM master m LEFT JOIN up USING (LINKNO) JOIN width USING (VPUCode)),
+    texts AS (SELECT VPUCode, string_agg(connect || chr(10), '' ORDER BY TopologicalOrder, LINKNO) AS a, string_agg(LINKNO || chr(10), '' ORDER BY TopologicalOrder, LINKNO) AS b,
+                     string_agg(musk_k || chr(10), '' ORDER BY TopologicalOrder, LINKNO) AS c, string_agg(musk_x || chr(10), '' ORDER BY TopologicalOrder, LINKNO) AS d,
+                     'LINKNO,lat,lon,z' || chr(10) || string_agg(LINKNO || ',0,0,0' || chr(10), '' ORDER BY TopologicalOrder, LINKNO) AS e, count(*) AS n
+              FROM line GROUP BY VPUCode)"""
+
 ORACLE_SQL = {
     "global_ids": _q("SELECT LINKNO, DSLINKNO, strmOrder, TDXHydroRegion FROM streams"),
     "zero_length_classes": _q("SELECT * FROM zc", _REPAIR),
@@ -179,8 +245,7 @@ ORACLE_SQL = {
         "SELECT axis, idx, coord FROM ax WHERE CASE WHEN axis = 'lon' THEN idx BETWEEN (SELECT arg_min(idx, (abs(c - x0), idx)) FROM ax, bb WHERE axis = 'lon') AND (SELECT arg_min(idx, (abs(c - x1), idx)) FROM ax, bb WHERE axis = 'lon') "
         "ELSE idx BETWEEN (SELECT arg_min(idx, (abs(c - y1), idx)) FROM ax, bb WHERE axis = 'lat') AND (SELECT arg_min(idx, (abs(c - y0), idx)) FROM ax, bb WHERE axis = 'lat') END",
         "bb AS (SELECT min(x) - 0.005e0 - 0.25e0 AS x0, max(x) + 0.005e0 + 0.25e0 AS x1, min(y) - 0.005e0 - 0.25e0 AS y0, max(y) + 0.005e0 + 0.25e0 AS y1 FROM streams)",
-        "ax AS (SELECT 'lon' AS axis, CAST(j AS INTEGER) AS idx, j * 0.25e0 AS coord, CASE WHEN j * 0.25e0 > 180 THEN j * 0.25e0 - 360 ELSE j * 0.25e0 END AS c FROM range(1440) t(j) "
-        "UNION ALL SELECT 'lat', CAST(j AS INTEGER), 90e0 - j * 0.25e0, 90e0 - j * 0.25e0 FROM range(721) t(j))",
+        _GRID,
     ),
     "weights_full": _q(f"SELECT LINKNO, lon_index, lat_index, {_AREA} FROM weights", _WEIGHTS),
     "weights_full_npoints": _q(f"SELECT LINKNO, lon_index, lat_index, count(*) OVER (PARTITION BY LINKNO) AS npoints, {_AREA} FROM weights", _WEIGHTS),
@@ -199,10 +264,49 @@ ORACLE_SQL = {
         "SELECT name, n, n = (SELECT count(*) FROM rep) AS matches FROM (SELECT 'master' AS name, count(*) AS n FROM rep UNION ALL SELECT 'weight_all.csv', count(DISTINCT LINKNO) FROM streams UNION ALL SELECT 'weight_kept.csv', count(DISTINCT LINKNO) FROM rep)",
         _REPAIR,
     ),
-    "outputs_valid": _q("SELECT CAST(6 AS BIGINT) AS n_tables, count(*) AS least, count(*) AS most, TRUE AS valid FROM rep", _REPAIR),
+    "outputs_valid": _q(
+        "SELECT 'whole' AS outputs, CAST(6 AS BIGINT) AS n_tables, count(*) AS least, count(*) AS most, TRUE AS valid FROM rep "
+        "UNION ALL SELECT 'short', 6, count(*) FILTER (WHERE LINKNO % 3 <> 0), count(*), FALSE FROM rep",
+        _REPAIR,
+    ),
     "slim_tables_present": "SELECT 'weight_' || n_name || '_full.csv' AS name, n_nationkey % 3 <> 0 AS has_slim FROM nation",
     "master_pipeline": _q(
         f"SELECT LINKNO, DSLINKNO, strmOrder, Magnitude, TDXHydroRegion, TopologicalOrder, velocity_factor, musk_k, musk_x, TerminalLink, {_LEVELS} FROM merged JOIN term USING (LINKNO)",
         _REPAIR, _D2, _D3, _prune(3), _route("pruned"), _MERGE,
     ),
+    "geodesic_lengths": _q(f"SELECT LINKNO, {_r('coalesce(len, 1e-2)', 3, 'length_m')} FROM streams LEFT JOIN vin USING (LINKNO)", _VINCENTY),
+    "simplified_lines": _q(
+        "SELECT b, count(*) AS n_points, string_agg(CAST(k - 1 AS VARCHAR), ' ' ORDER BY k) AS slots FROM (SELECT b, lo AS k FROM stretch UNION SELECT b, hi FROM stretch) GROUP BY b",
+        _SIMPLIFY,
+    ),
+    "multi_line_centroids": _q(
+        f"SELECT LINKNO, {_r('(l * (x + px) / 2 + 2e-2 * (x + 1e-2) + 3e-2 * (x + 2e-2)) / (l + 5e-2)', 6, 'cx')}, {_r('(l * (y + py) / 2 + 2e-2 * y + 3e-2 * (y + 15e-3)) / (l + 5e-2)', 6, 'cy')} "
+        "FROM (SELECT *, sqrt(pow(px - x, 2) + pow(py - y, 2)) AS l FROM streams)"
+    ),
+    "concave_weights": _q(f"SELECT LINKNO, lon_index, lat_index, {_AREA} FROM weights", _ELBOW),
+    "axis_weights": _q(f"SELECT LINKNO, lon_index, lat_index, count(*) OVER (PARTITION BY LINKNO) AS npoints, {_AREA} FROM weights", _WEIGHTS),
+    "wrapped_axis_window": _q(
+        "SELECT axis, idx, coord FROM ax WHERE CASE WHEN axis = 'lon' THEN idx >= (SELECT arg_min(idx, (abs(c - x0), idx)) FROM ax, bb WHERE axis = 'lon') OR idx <= (SELECT arg_min(idx, (abs(c - x1), idx)) FROM ax, bb WHERE axis = 'lon') "
+        "ELSE idx BETWEEN (SELECT arg_min(idx, (abs(c - y1), idx)) FROM ax, bb WHERE axis = 'lat') AND (SELECT arg_min(idx, (abs(c - y0), idx)) FROM ax, bb WHERE axis = 'lat') END",
+        "bb AS (SELECT min((x + 120) / 100 - 1e-1) - 0.005e0 - 0.25e0 AS x0, max((x + 120) / 100 - 1e-1) + 0.005e0 + 0.25e0 AS x1, min(y) - 0.005e0 - 0.25e0 AS y0, max(y) + 0.005e0 + 0.25e0 AS y1 FROM streams)",
+        _GRID,
+    ),
+    "zero_id_basin": _q(
+        f"SELECT LINKNO % 10000000 AS LINKNO, {_r(_rect('cx - r', 'cx + r', 'cy - r', 'cy + r') + ' / 1e6', 4, 'area_km2')} FROM (SELECT *, CASE WHEN LINKNO % 10000000 = 0 THEN (x + px) / 2 ELSE x END AS cx, "
+        "CASE WHEN LINKNO % 10000000 = 0 THEN (y + py) / 2 ELSE y END AS cy, CASE WHEN LINKNO % 10000000 = 0 THEN 15e-3 ELSE 5e-3 END AS r FROM streams WHERE LengthGeodesicMeters > 0.01)"
+    ),
+    "deep_chain": "SELECT c_custkey AS id, t AS root, c_custkey - f AS height, CASE WHEN m >= c_custkey THEN m END AS mark, CASE WHEN m >= c_custkey THEN m - c_custkey END AS at_mark "
+    "FROM customer, (SELECT max(c_custkey) AS t, min(c_custkey) AS f, max(c_custkey) FILTER (WHERE c_custkey % 7 = 3) AS m FROM customer)",
+    "wide_confluence": "SELECT s_suppkey AS HydroID, CASE WHEN s_suppkey = f THEN -1 ELSE f END AS NextDownID, CASE WHEN s_suppkey = f THEN n - 1 ELSE 0 END AS CountUpstreamID, CASE WHEN s_suppkey = f THEN ids ELSE '' END AS UpstreamIDs "
+    "FROM supplier, (SELECT min(s_suppkey) AS f, count(*) AS n FROM supplier), (SELECT string_agg(s_suppkey, ',' ORDER BY s_suppkey * 7 % 1009, s_suppkey) AS ids FROM supplier WHERE s_suppkey > (SELECT min(s_suppkey) FROM supplier))",
+    "unit_files": _q(
+        "SELECT VPUCode, 'rapid_connect.csv' AS name, n AS n_lines, md5(a) AS content_md5 FROM texts UNION ALL SELECT VPUCode, 'riv_bas_id.csv', n, md5(b) FROM texts UNION ALL SELECT VPUCode, 'k.csv', n, md5(c) FROM texts "
+        "UNION ALL SELECT VPUCode, 'x.csv', n, md5(d) FROM texts UNION ALL SELECT VPUCode, 'comid_lat_lon_z.csv', n + 1, md5(e) FROM texts "
+        "UNION ALL SELECT VPUCode, 'weight_grid.csv', 1 + count(*), NULL FROM weights JOIN master USING (LINKNO) GROUP BY VPUCode",
+        _REPAIR, _route("ord"), _FLAT, _WEIGHTS, _UNIT_FILES,
+    ),
+    "short_unit_file": _q(
+        "SELECT VPUCode AS unit, CAST(6 AS BIGINT) AS n_files, least(n, s) AS least, n AS most, n = s AS valid FROM "
+        "(SELECT VPUCode, count(*) AS n, count(*) FILTER (WHERE TerminalLink % 1000 <> 0 OR VPUCode % 2 = 0) AS s FROM vpu GROUP BY VPUCode)"
+    ),
 }

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geodesy import geodesic_length
-from ..functions.lines import line_centroid
+from ..functions.lines import line_centroid, point
 from ..functions.routing import last_plus_max_of_others, scaled_mean
 from ..functions.simplify import simplify_line
 from ..operators import clean, graph, routing_tables, simplify, validate, weights
 from ..schema import MIN_DRAINAGE_AREA_M2
-from ..session import scratch, ship_package
+from ..session import scratch, shared_folder, ship_package
 from ..sources.header_numbers import header_numbers
-from . import fixtures
+from . import fixtures, jobs
 from .master import Network, Options, dissolved, prepare, region_master
 
 
@@ -205,7 +208,7 @@ def grid_axis_window(spark: SparkSession, d: str) -> DataFrame:
 
 def geodesic_lengths(spark: SparkSession, d: str) -> DataFrame:
     ship_package(spark)
-    return fixtures.streams(spark, d).select("LINKNO", geodesic_length("geometry").alias("length_m"))
+    return fixtures.streams(spark, d).select("LINKNO", _digits(geodesic_length("geometry"), 3).alias("length_m"))
 
 
 def line_centroids(spark: SparkSession, d: str) -> DataFrame:
@@ -219,10 +222,73 @@ def polygon_areas(spark: SparkSession, d: str) -> DataFrame:
 
 def simplified_lines(spark: SparkSession, d: str) -> DataFrame:
     ship_package(spark)
-    points = F.transform(F.sort_array(F.collect_list(F.struct("slot", "x", "y"))), lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
-    rows = fixtures.stamped(spark, d).select("b", "slot", fixtures._x(F.col("b"), F.col("slot")).alias("x"), fixtures._y(F.col("b"), F.col("slot")).alias("y"))
-    lines = rows.groupBy("b").agg(F.array(points).alias("geometry"))
-    return lines.select("b", F.size(simplify_line(0.005)("geometry")[0]).cast("long").alias("n_points"))
+    kept = simplify_line(0.05)("geometry")[0]
+    slots = F.transform(kept, lambda p: F.rint(p["x"] * 100).cast("int").cast("string"))
+    return fixtures.price_lines(spark, d).select("b", F.size(kept).cast("long").alias("n_points"), F.array_join(slots, " ").alias("slots"))
+
+
+def multi_line_centroids(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of two parts, the second with two edges."""
+    streams = fixtures.streams(spark, d).select("LINKNO", "geometry", F.col("geometry")[0][0].alias("p"))
+    x, y = F.col("p.x"), F.col("p.y")
+    at = line_centroid(F.array(F.col("geometry")[0], F.array(point(x, y), point(x + 0.02, y), point(x + 0.02, y + 0.03))))
+    return streams.select("LINKNO", _digits(at["x"], 6).alias("cx"), _digits(at["y"], 6).alias("cy"))
+
+
+def concave_weights(spark: SparkSession, d: str) -> DataFrame:
+    return _area(weights.basin_weights(fixtures.elbow_basins(spark, d), fixtures.grid_axis(spark)))
+
+
+def axis_weights(spark: SparkSession, d: str) -> DataFrame:
+    return _area(weights.basin_weights_of_axes(scratch(fixtures.basins(spark, d, fixtures.WIDE), "basins"), fixtures.grid_axis(spark)))
+
+
+def wrapped_axis_window(spark: SparkSession, d: str) -> DataFrame:
+    return weights.axis_window(fixtures.grid_axis(spark), weights.total_bounds(fixtures.meridian_basins(spark, d)))
+
+
+def zero_id_basin(spark: SparkSession, d: str) -> DataFrame:
+    """Ids as the source layer has them: one is 0 and has no basin of its own."""
+    streams = fixtures.raw_streams(spark, d)
+    basins = fixtures.basins(spark, d).withColumn("LINKNO", F.col("LINKNO") % 10_000_000).where("LINKNO <> 0")
+    classes = clean.zero_length_classes(streams.drop("geometry"))
+    kept = clean.repair_basins(basins, classes, classes.select(F.col("id").alias("drop")).limit(0), clean.zero_id_centroid(streams))
+    return kept.select("LINKNO", _digits(weights.equal_area(F.col("geometry")) / 1e6, 4).alias("area_km2"))
+
+
+def deep_chain(spark: SparkSession, d: str) -> DataFrame:
+    return graph.flow(fixtures.chain(spark, d), marks=("mark",), with_height=True)
+
+
+def wide_confluence(spark: SparkSession, d: str) -> DataFrame:
+    found = routing_tables.connectivity(fixtures.star(spark, d))
+    return found.withColumn("UpstreamIDs", F.array_join("UpstreamIDs", ","))
+
+
+def unit_files(spark: SparkSession, d: str) -> DataFrame:
+    """The files of all units as they lie on disk: lines, and a hash of the content."""
+    store = jobs.Store(spark, f"{shared_folder(spark)}/fluviant/units-{uuid.uuid4().hex}")
+    master = scratch(routing_tables.global_master(scratch(_masters(spark, d), "masters"), fixtures.vpu(spark, d)), "global-master")
+    state = jobs.export_units(spark, master, {"weight_grid.csv": scratch(_weights(spark, d), "weights")}, store)
+    found = None
+    for name in (*jobs.UNIT_FILES, "weight_grid.csv"):
+        rows = spark.read.text([store(str(c), name) for c, valid in state.items() if valid], wholetext=True)
+        code = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("long")
+        lines = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit("")))
+        content = F.lit(None).cast("string") if name.startswith("weight_") else F.md5("value")
+        part = rows.select(code.alias("VPUCode"), F.lit(name).alias("name"), lines.cast("long").alias("n_lines"), content.alias("content_md5"))
+        found = part if found is None else found.unionByName(part)
+    found = scratch(found, "unit-files")
+    store.delete(store.root)
+    return found
+
+
+def short_unit_file(spark: SparkSession, d: str) -> DataFrame:
+    """Units of which one file lacks some rivers: those with fewer rows are not valid."""
+    rows = fixtures.vpu(spark, d).select(F.col("VPUCode").alias("unit"), "TerminalLink")
+    counts = [(n, rows) for n in (*jobs.UNIT_FILES, "weight_grid.csv") if n != "k.csv"] + [("k.csv", rows.where("TerminalLink % 1000 <> 0 or unit % 2 = 0"))]
+    each = [r.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(n)) for n, r in counts]
+    return validate.units_valid(reduce(DataFrame.unionByName, each), jobs.UNIT_FILES)
 
 
 def region_consistency(spark: SparkSession, d: str) -> DataFrame:
@@ -232,9 +298,12 @@ def region_consistency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def outputs_valid(spark: SparkSession, d: str) -> DataFrame:
-    master = _repaired(spark, d)
-    files = dict.fromkeys(("rapid_connect.csv", "riv_bas_id.csv", "comid_lat_lon_z.csv", "k.csv", "x.csv"), master)
-    return validate.outputs_valid(files, {"weight_grid.csv": master})
+    """Two sets of outputs: one in which all files agree, one in which two lack some rivers."""
+    master = _repaired(spark, d).select("LINKNO")
+    files = dict.fromkeys(jobs.UNIT_FILES, master)
+    short = master.where("LINKNO % 3 <> 0")
+    found = [validate.outputs_valid({**files, **fewer}, {"weight_grid.csv": w}).withColumn("outputs", F.lit(name)) for name, fewer, w in (("whole", {}, master), ("short", {"k.csv": short}, short))]
+    return found[0].unionByName(found[1])
 
 
 def slim_tables_present(spark: SparkSession, d: str) -> DataFrame:
@@ -262,6 +331,7 @@ QUERIES = {
         global_master, missing_vpu_labels, vpu_weights_subset, vpu_streams_geometry, thiessen_cells, grid_axis_window,
         weights_full, weights_full_npoints, weights_simplified, geodesic_lengths, line_centroids, polygon_areas, simplified_lines,
         region_consistency, outputs_valid, slim_tables_present, master_pipeline,
+        multi_line_centroids, concave_weights, axis_weights, wrapped_axis_window, zero_id_basin, deep_chain, wide_confluence, unit_files, short_unit_file,
     )
 }
 

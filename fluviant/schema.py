@@ -25,6 +25,9 @@ MASTER_COLUMNS = [
     "LengthGeodesicMeters", "TerminalLink", "musk_k", "musk_x",
 ]
 
+#: Columns of a weight table, in the order of its files.
+WEIGHT_SCHEMA = "LINKNO long, area_sqm double, lon_index int, lat_index int, lon double, lat double"
+
 #: Lines are arrays of parts, a part an array of points; polygons are arrays of rings.
 GEOMETRY = "array<array<struct<x:double,y:double>>>"
 ARROW_GEOMETRY = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))

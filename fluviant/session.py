@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our
-    own where the session names none (tests on one machine)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint
+    folder. A session on one machine that names none gets one of its own; on a cluster
+    that is an error, for there a local folder would be another on each executor."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         given = spark.sparkContext._jsc.sc().getCheckpointDir()
         if not given.isDefined():
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(f"{tempfile.gettempdir()}/fluviant-checkpoints-{uuid.uuid4().hex[:8]}")
             given = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = given.get()
@@ -31,11 +34,16 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 TASKS_PER_CORE = 4
 
 
+#: Written tables that still exist, in the order of writing, by application.
+_tables: dict[str, list[str]] = {}
+
+
 def scratch(df: DataFrame, name: str, settle: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     The written files cut the lineage: a lost executor costs a re-read, not a
-    recomputation, and two readers see the same rows. They go when the driver ends.
+    recomputation, and two readers see the same rows. They go when ``discard`` or
+    ``release`` says so, at the latest when the driver ends.
     ``settle`` is for light results of a shuffle: a task then works through several
     shuffle partitions, one after the other, and writes one file for all of them.
     Tables read off a scan keep a task for each split.
@@ -47,7 +55,34 @@ def scratch(df: DataFrame, name: str, settle: bool = False) -> DataFrame:
     df.write.parquet(path)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._fluviant_path = path
+    return written
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _tables[spark.sparkContext.applicationId].remove(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``scratch`` returned and that nothing reads any more."""
+    _delete(table.sparkSession, table._fluviant_path)
+
+
+def written_tables(spark: SparkSession) -> list[str]:
+    """The tables that exist, in the order of writing."""
+    return list(_tables.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, before: list[str], keep: DataFrame) -> None:
+    """Delete all tables written since ``before`` (``written_tables`` of then) but ``keep``,
+    itself a written table, whose rows need none of them."""
+    for path in written_tables(spark):
+        if path not in before and path != keep._fluviant_path:
+            _delete(spark, path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -61,9 +96,9 @@ def spread(df: DataFrame) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a context.
 
-    Executors need not have it installed, nor share the driver's folders. Arrow
-    batches, 64 MB by default in each task outside the heap, are made small, unless
-    the session has set their size."""
+    Executors need not have it installed, nor share the driver's folders. One setting
+    of the session changes by it: Arrow batches, 64 MB by default in each task outside
+    the heap, are made 4 MB, unless the session has set their size itself."""
     if spark.conf.get(BATCH_BYTES, "67108864b") in ("67108864b", "67108864"):
         spark.conf.set(BATCH_BYTES, "4m")
     context = spark.sparkContext

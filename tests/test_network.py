@@ -18,7 +18,7 @@ CANDIDATES_2, CANDIDATES_3 = {3, 4, 16, 17, 24}, {1, 2, 15}
 def block(spark, tmp_path_factory):
     """One template block; lengths long enough that nothing is short."""
     d = str(tmp_path_factory.mktemp("orders"))
-    spark.range(45).select(F.col("id").alias("o_orderkey"), F.lit(250_000.0).alias("o_totalprice")).write.parquet(f"{d}/orders.parquet")
+    spark.range(40).select(F.col("id").alias("o_orderkey"), F.lit(250_000.0).alias("o_totalprice")).write.parquet(f"{d}/orders.parquet")
     return d
 
 
@@ -40,8 +40,13 @@ def pairs(df):
     return {(a - BASE, b - BASE) for a, b in df.collect()}
 
 
-def test_partial_block_is_dropped(spark, block):
+def test_a_short_block_is_kept_and_has_no_loose_ends(spark, block, tmp_path):
     assert fixtures.streams(spark, block).count() == 40
+    for n in (3, 45, 54):
+        d = str(tmp_path / str(n))
+        spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit(250_000.0).alias("o_totalprice")).write.parquet(f"{d}/orders.parquet")
+        rows = {r["LINKNO"]: r["DSLINKNO"] for r in fixtures.streams(spark, d).collect()}
+        assert len(rows) == n and all(v == -1 or v in rows for v in rows.values())
 
 
 def test_zero_length_classes(spark, block):

@@ -4,6 +4,7 @@ import json
 import sqlite3
 import struct
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -49,11 +50,13 @@ def test_geoparquet_round_trip_and_footer(spark, tmp_path):
     files.write_geoparquet(geometry_frame(spark, [(1, LINE), (2, TWO), (3, None)]).coalesce(1), path)
     found = {r["LINKNO"]: points(r["geometry"]) for r in files.read_geoparquet(spark, path).collect()}
     assert found == {1: LINE, 2: TWO, 3: None}
-    source = next((tmp_path / "lines").glob("*.parquet"))
-    target = tmp_path / "one.geoparquet"
-    files.add_geo_footer(str(source), str(target))
-    assert json.loads(pq.read_schema(target).metadata[b"geo"])["primary_column"] == "geometry"
-    assert pq.read_table(target).num_rows == 3
+    written = list((tmp_path / "lines").glob("*.parquet"))
+    assert all(json.loads(pq.read_schema(f).metadata[b"geo"])["primary_column"] == "geometry" for f in written)
+    assert sum(pq.read_table(f).num_rows for f in written) == 3 and not list((tmp_path / "lines").glob("_*.geo"))
+    assert files.add_geo_footers(spark, path) == len(written)  # a second time changes nothing
+    files.write_geoparquet(geometry_frame(spark, [(i, LINE) for i in range(9)]).withColumn("u", F.col("LINKNO") % 2), path + "2", partition_by="u")
+    parts = list((tmp_path / "lines2").rglob("*.parquet"))
+    assert len(parts) >= 2 and all(b"geo" in pq.read_schema(f).metadata for f in parts) and files.read_geoparquet(spark, path + "2").count() == 9
 
 
 def test_geopackage_round_trip(spark, tmp_path, monkeypatch):
@@ -136,7 +139,37 @@ def test_units_are_staged_checked_and_kept(spark, orders, tmp_path):
     connect = spark.read.csv(units(str(code), "rapid_connect.csv"))
     rivers = [r[0] for r in spark.read.csv(units(str(code), "riv_bas_id.csv")).collect()]
     assert [r[0] for r in connect.collect()] == rivers
+    import os
+
+    assert sorted(os.listdir(units.root)) == sorted(map(str, state)) and all(os.path.isfile(units(str(c), n)) for c in state for n in (*jobs.UNIT_FILES, "weight_grid.csv"))
+    for c in state:
+        unit = consistent.where(F.col("VPUCode") == c).orderBy("TopologicalOrder", "LINKNO").collect()
+        lines = [x.split(",") for x in open(units(str(c), "rapid_connect.csv")).read().splitlines()]
+        assert [int(x[0]) for x in lines] == [r["LINKNO"] for r in unit] and len({len(x) for x in lines}) == 1
+        ups = {r["LINKNO"]: [u["LINKNO"] for u in unit if u["DSLINKNO"] == r["LINKNO"]] for r in unit}
+        assert all([int(v) for v in x[3:]] == ups[int(x[0])] + [0] * (len(x) - 3 - len(ups[int(x[0])])) for x in lines)
+        assert [int(x) for x in open(units(str(c), "k.csv")).read().split()] == [r["musk_k"] for r in unit]
+        assert open(units(str(c), "comid_lat_lon_z.csv")).readline().strip() == "LINKNO,lat,lon,z"
+        rows = [x.split(",") for x in open(units(str(c), "weight_grid.csv")).read().splitlines()]
+        at = rows[0].index("area_sqm")
+        keys = [(int(x[0]), -float(x[at])) for x in rows[1:]]
+        assert keys == sorted(keys) and {k for k, _ in keys} == {r["LINKNO"] for r in unit}
     assert jobs.export_units(spark, consistent, {"weight_grid.csv": slim}, units) == state
+    # a unit whose file has lost a row is made anew, the others are left alone
+    stamp = {c: os.stat(units(str(c), "x.csv")).st_mtime_ns for c in state}
+    kept = open(units(str(code), "k.csv")).read()
+    open(units(str(code), "k.csv"), "w").write(kept.split("\n", 1)[1])
+    os.path.exists(units(str(code), ".k.csv.crc")) and os.remove(units(str(code), ".k.csv.crc"))
+    assert jobs.export_units(spark, consistent, {"weight_grid.csv": slim}, units) == state
+    assert open(units(str(code), "k.csv")).read() == kept
+    assert all((os.stat(units(str(c), "x.csv")).st_mtime_ns == stamp[c]) == (c != code) for c in state)
+    # packages of units, in Mercator metres, one layer each
+    packages = jobs.Store(spark, str(tmp_path / "gpkg"))
+    assert jobs.export_units(spark, consistent, {"weight_grid.csv": slim}, units, made.lines, packages) == state
+    assert packages.names(packages.root) == [f"streams_{c}.gpkg" for c in sorted(state)]
+    layer = geopackage.read_geopackage(spark, packages(f"streams_{code}.gpkg"), f"streams_{code}")
+    assert layer.count() == consistent.where(F.col("VPUCode") == code).count() and {"musk_k", "TerminalLink"} <= set(layer.columns)
+    assert layer.agg(F.min(F.col("geometry")[0][0]["x"])).first()[0] < -1e7
     # a unit without weights is not valid and leaves nothing behind
     bare = jobs.Store(spark, str(tmp_path / "bare"))
     assert not any(jobs.export_units(spark, consistent, {}, bare).values()) and bare.names(bare.root) == []
@@ -144,6 +177,10 @@ def test_units_are_staged_checked_and_kept(spark, orders, tmp_path):
     assert files.read_geoparquet(spark, str(tmp_path / "final")).count() == master.count()
     lists = jobs.dissolve_lists(made.dissolved).collect()
     assert all(r["upstream"] for r in lists)
+    final = jobs.Store(spark, str(tmp_path / "final"))
+    simplified = str(tmp_path / "simple")
+    assert jobs.simplify_streams(spark, final, simplified, 0.1) == [n for n in final.names(final.root) if n != "_SUCCESS"] != []
+    assert files.read_geoparquet(spark, simplified).count() == master.count()
 
 
 def test_workflow_from_tables_to_units(spark, orders, tmp_path, monkeypatch):
@@ -160,11 +197,121 @@ def test_workflow_from_tables_to_units(spark, orders, tmp_path, monkeypatch):
     for g in groups:
         made = jobs.read_master(spark, store, g)
         assert {"LINKNO", "TerminalLink", "musk_k"} <= set(made.table.columns) and made.pruned is not None
+    assert {"final_streams", "global_master", "streams", "units"} <= set(store.names(store.root))
+    assert len(store.names(store("streams"))) == sum(state.values())
+    weights = {n for g in groups for n in store.names(store(g)) if n.startswith("weight")}
+    assert weights == {"weight_grid.csv", "weight_grid_full.csv"}
+    some = jobs.read_weights(spark, *[store(g, "weight_grid.csv") for g in groups])
+    assert some.where("area_sqm is null or lat is null").isEmpty() and some.count() > 0
     # a second run computes no master again
     monkeypatch.setattr(jobs, "run_groups", lambda streams, lakes, groups: ({}, {}) if not groups else pytest.fail("computed again"))
     assert jobs.workflow(spark, *given, store) == state
 
 
+def test_missing_labels_are_written_before_the_error(spark, tmp_path):
+    masters = spark.createDataFrame([(1, 7, "a"), (2, 7, "a"), (3, 8, "a")], "LINKNO long, TerminalLink long, TDXHydroRegion string")
+    store = jobs.Store(spark, str(tmp_path))
+    with pytest.raises(jobs.routing_tables.MissingLabelError, match="missing_vpu_label.csv"):
+        jobs.checked_global_master(masters, spark.createDataFrame([(8, 101)], "TerminalLink long, VPUCode long"), store)
+    assert (tmp_path / "missing_vpu_label.csv").read_text().splitlines() == ["LINKNO,TerminalLink,TDXHydroRegion", "1,7,a", "2,7,a"]
+
+
+def netcdf(variables, version=1, dims=None):
+    """A classic file with one-dimensional variables: name -> (type, values)."""
+    size, begin = (">q" if version == 5 else ">i"), (">i" if version == 1 else ">q")
+
+    def name(text):
+        raw = text.encode()
+        return struct.pack(size, len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+    kinds = {4: ">i4", 5: ">f4", 6: ">f8", 3: ">i2"}
+    head = b"CDF" + bytes([version]) + struct.pack(size, 0) + struct.pack(">i", 10) + struct.pack(size, len(variables))
+    head += b"".join(name(n) + struct.pack(size, len(v)) for n, (_, v) in variables.items())
+    head += struct.pack(">i", 12) + struct.pack(size, 1) + name("title") + struct.pack(">i", 2) + struct.pack(size, 5) + b"grid!\0\0\0"
+    head += struct.pack(">i", 11) + struct.pack(size, len(variables))
+    entries, data = [], b""
+    for i, (n, (kind, values)) in enumerate(variables.items()):
+        raw = np.asarray(values, kinds[kind]).tobytes()
+        entries.append((name(n) + struct.pack(size, 1) + struct.pack(size, i) + struct.pack(">i", 0) + struct.pack(size, 0) + struct.pack(">i", kind) + struct.pack(size, len(raw)), len(data)))
+        data += raw + b"\0" * (-len(raw) % 4)
+    total = len(head) + sum(len(e) + struct.calcsize(begin) for e, _ in entries)
+    return head + b"".join(e + struct.pack(begin, total + at) for e, at in entries) + data
+
+
+@pytest.mark.parametrize("version", [1, 2, 5])
+def test_netcdf_axes(spark, tmp_path, version):
+    from fluviant.sources import netcdf as reader
+
+    content = netcdf({"time": (3, [7]), "longitude": (5, [0.0, 90.0, 270.5]), "lat": (6, [10.25, -10.0])}, version)
+    (tmp_path / "era_1.nc").write_bytes(content)
+    assert reader.axis_values(content, ("lon", "longitude")) == [0.0, 90.0, 270.5]
+    rows = [(r["axis"], r["idx"], r["coord"]) for r in reader.read_netcdf_axes(spark, str(tmp_path / "era_1.nc")).collect()]
+    assert sorted(rows) == [("lat", 0, 10.25), ("lat", 1, -10.0), ("lon", 0, 0.0), ("lon", 1, 90.0), ("lon", 2, 270.5)]
+    with pytest.raises(ValueError, match="no variable"):
+        reader.axis_values(netcdf({"x": (6, [1.0])}, version), reader.ALIASES["lat"])
+    with pytest.raises(ValueError, match="format 4"):
+        reader.axis_values(b"\x89HDF\r\n", reader.ALIASES["lat"])
+
+
+def test_grids_from_samples(spark, tmp_path):
+    for n in (10, 9):
+        (tmp_path / f"era_{n}.nc").write_bytes(netcdf({"lon": (6, [0.0, 1.0, 359.0]), "latitude": (6, [1.0, 0.0][: n - 8] or [1.0])}))
+    store = jobs.Store(spark, str(tmp_path / "grids"))
+    axes = jobs.grids_from_samples(spark, [str(tmp_path / f"era_{n}.nc") for n in (10, 9)], store)
+    assert list(axes) == ["era_9", "era_10"] and store.names(store.root) == ["era_9_thiessen_grid.parquet", "era_10_thiessen_grid.parquet"]
+    cells = spark.read.parquet(store("era_10_thiessen_grid.parquet"))
+    assert cells.count() == 6 and {r[0] for r in cells.select("lon_index").distinct().collect()} == {0, 1, 2}
+    assert jobs.grids_from_samples(spark, [str(tmp_path / "era_9.nc")], store)["era_9"].count() == 4
+
+
+def test_names_are_sorted_by_their_numbers():
+    assert sorted(["u_10", "u_9", "a", "u_9b", "10", "9"], key=jobs.natural) == ["9", "10", "a", "u_9", "u_9b", "u_10"]
+
+
+def test_option_sheets(spark, tmp_path):
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rows = [
+        '<c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c><c r="D1" t="inlineStr"><is><t>note</t></is></c>',
+        '<c r="A2"><v>1020000010</v></c><c r="B2" t="b"><v>1</v></c><c r="D2" t="str"><v>x</v></c>',
+        '<c r="A3"><v>5</v></c><c r="B3" t="b"><v>0</v></c>',
+    ]
+    with zipfile.ZipFile(tmp_path / "o.xlsx", "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>region_number</t></si><si><r><t>pro</t></r><r><t>cess</t></r></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>" + "".join(f"<row>{r}</row>" for r in rows) + "</sheetData></worksheet>")
+    found = files.read_table(spark, str(tmp_path / "o.xlsx"), "region_number long, process boolean, note string, absent double")
+    assert [tuple(r) for r in found.collect()] == [(1020000010, True, "x", None), (5, False, None, None)]
+    with pytest.raises(ValueError, match="schema"):
+        files.read_table(spark, str(tmp_path / "o.xlsx"))
+
+
+def test_single_csv_is_a_file(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    files.write_single_csv(spark.createDataFrame([(2, "b"), (1, "a")], "i int, s string"), str(path), ["i"])
+    assert path.is_file() and path.read_text().splitlines() == ["i,s", "1,a", "2,b"] and not (tmp_path / "a.csv.parts").exists()
+    files.write_single_csv(spark.createDataFrame([], "i int"), str(path), header=False)
+    assert path.is_file() and path.read_text() == ""
+
+
+def test_tables_are_released_and_clusters_need_a_shared_folder(spark, monkeypatch):
+    from fluviant import session
+
+    before = session.written_tables(spark)
+    a, b = session.scratch(spark.range(3), "a"), session.scratch(spark.range(4), "b")
+    session.release(spark, before, b)
+    assert session.written_tables(spark) == [*before, b._fluviant_path] and b.count() == 4
+    with pytest.raises(Exception):
+        a.count()
+    session.discard(b)
+    assert session.written_tables(spark) == before
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host"))
+    assert session.shared_folder(spark)  # named by the session
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(spark)
+
+
 def test_weight_file_order(spark, tmp_path):
     rows = spark.createDataFrame([(2, 1.0), (1, 5.0), (1, 7.0)], "LINKNO long, area_sqm double")
     for full, expected in ((True, [5.0, 7.0, 1.0]), (False, [7.0, 5.0, 1.0])):
