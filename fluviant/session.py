@@ -77,12 +77,11 @@ def written_tables(spark: SparkSession) -> list[str]:
     return list(_tables.get(spark.sparkContext.applicationId, []))
 
 
-def release(spark: SparkSession, before: list[str], keep: DataFrame) -> None:
+def release(spark: SparkSession, before: list[str], *keep: DataFrame) -> None:
     """Delete all tables written since ``before`` (``written_tables`` of then) but ``keep``,
-    itself a written table, whose rows need none of them."""
-    for path in written_tables(spark):
-        if path not in before and path != keep._fluviant_path:
-            _delete(spark, path)
+    themselves written tables, whose rows need none of the others."""
+    for path in set(written_tables(spark)).difference(before, (k._fluviant_path for k in keep)):
+        _delete(spark, path)
 
 
 def spread(df: DataFrame) -> DataFrame:
