@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch, ship_package
+from ..session import discard, scratch, ship_package
 
 #: Edges one task may hold for the final union-find.
 EDGES_PER_TASK = 100_000
@@ -58,7 +58,7 @@ def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFr
     all tasks until nothing changes; fewer edges are solved by one union-find."""
     ship_package(edges.sparkSession)
     mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    before = None
+    before = own = None
     while True:
         n, total = edges.agg(F.count(F.lit(1)), mark).first()
         if n <= edges_per_task:
@@ -66,4 +66,7 @@ def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFr
         if before == (n, total):  # all stars: each vertex points to its root
             return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
         before = (n, total)
-        edges = scratch(_contract(edges), "stars", settle=True)
+        edges, done = scratch(_contract(edges), "stars", settle=True), own
+        own = edges
+        if done is not None:
+            discard(done)

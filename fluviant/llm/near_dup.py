@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch, ship_package
+from ..session import release, scratch, ship_package, written_tables
 from ._common import TMP, bitmap_of, bitmap_size, lookup, resident, split_by_bitmap
 from .byte_bpe import text_udf
 from .components import components
@@ -135,8 +135,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataF
     return scratch(both.where(_reaches(common, n, percent)).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")), name + "-links", settle=True)
 
 
-def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(``c, bucket, members`` of each class in a bucket with others, ``bucket, members``, rows).
+def _postings(classes: DataFrame) -> tuple[DataFrame, int]:
+    """(``c, bucket, members`` of each class in a bucket with others, rows).
 
     Most buckets hold one class; a bit map of the others keeps theirs off the shuffle."""
     posted = classes.select(F.struct("k", "v", "d", "n").alias("c"), F.explode("bands").alias("bucket"))
@@ -144,7 +144,7 @@ def _postings(classes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     found, total = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("members"), F.lit(0))).first()
     bits = bitmap_size(found)
     maybe, _ = split_by_bitmap(posted, F.col("bucket"), bitmap_of(shared, F.col("bucket"), bits), bits)
-    return scratch(lookup(maybe, shared, "bucket", "members", total, "inner"), "postings", settle=True), shared, total
+    return scratch(lookup(maybe, shared, "bucket", "members", total, "inner"), "postings", settle=True), total
 
 
 def _prefix_pairs(sets: DataFrame, open_classes: DataFrame, percent: int) -> DataFrame:
@@ -182,7 +182,8 @@ def _prefix_pairs(sets: DataFrame, open_classes: DataFrame, percent: int) -> Dat
 def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links (``a, b``) among ``classes`` (``k, v, d, n, bands``): those with leaders, and
     those found among the members of buckets that then still held two components."""
-    postings, buckets, total = _postings(classes)
+    before = written_tables(docs.sparkSession)
+    postings, total = _postings(classes)
     # The leader of a bucket: the class with most neighbours over all its buckets.
     central = postings.groupBy(F.col("c.k").alias("k")).agg(F.sum(F.col("members") - 1).alias("neighbours"))
     ranked = postings.join(central, F.col("c.k") == F.col("k"))
@@ -204,16 +205,20 @@ def _links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, widt
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi and members > 2").select("bucket", "members")
     mixed = scratch(mixed, "mixed", settle=True)
     if mixed.isEmpty():
+        release(docs.sparkSession, before, star)
         return star, star.limit(0)
     still_open = lookup(placed.where("c.k <> leader.k").select("bucket", "c", "root"), mixed, "bucket", "members", total, "inner").select("c", "root").distinct()
     still_open = scratch(still_open, "open", settle=True)
-    return star, _linked(_prefix_pairs(sets, still_open, percent), sets, percent, "met")
+    met = _linked(_prefix_pairs(sets, still_open, percent), sets, percent, "met")
+    release(docs.sparkSession, before, star, met)
+    return star, met
 
 
 def _sketched(docs: DataFrame, percent: int, width: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     """One row per row of ``docs``: ``id, n, d1, component_id, first``; ``first`` marks the
     rows of the text that a component keeps."""
     ship_package(docs.sparkSession)
+    before = written_tables(docs.sparkSession)
     sketches = scratch(_sketches(docs, id_col, text_col, width, bands, rows), "sketches")
     grouped = sketches.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("n", "bands")).alias("s"))
     classes = scratch(grouped.select(F.monotonically_increasing_id().alias("k"), "d1", "d2", "id", "copies", "s.n", "s.bands"), "classes")
@@ -230,6 +235,7 @@ def _sketched(docs: DataFrame, percent: int, width: int, bands: int, rows: int,
     named = lookup(parts.select("k", "root"), heads, "root", "texts", parts.count(), "inner").select("k", F.col("head.id").alias("component"), (F.col("k") == F.col("head.k")).alias("first"))
     of_class = light.join(scratch(named, "named", settle=True), "k", "left")
     of_class = scratch(of_class.select("d1", "d2", "copies", F.coalesce("component", "id").alias("component"), F.coalesce("first", F.lit(True)).alias("first")), "class-components", settle=True)
+    release(docs.sparkSession, before, sketches, of_class)
     found = sketches.where("n > 0").select("id", "n", "d1", "d2")
     found = lookup(found, of_class, ("d1", "d2"), "copies", sketches.count(), "inner")
     found = found.select("id", "n", "d1", F.col("component").alias("component_id"), (F.col("first") & F.col("id").eqNullSafe(F.col("component"))).alias("first"))

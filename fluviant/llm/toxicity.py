@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch, ship_package
+from ..session import discard, scratch, ship_package
 from ._common import held_out, resident
 from .byte_bpe import map_texts, text_udf
 
@@ -235,6 +235,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["present", "toxic"])
 
     table = sample.mapInArrow(present, "present array<int>, toxic int").toArrow()
+    discard(sample)
     y = table.column("toxic").to_numpy().astype(np.float32)
     lists = table.column("present").combine_chunks()
     flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
