@@ -33,7 +33,7 @@ ROWS_PER_CLASS, FACTORS = 6_000, 8
 #: word among the texts with its partner, where far more pairs are tested.
 LEAST_Z, LEAST_PAIR_Z = 4.0, 9.0
 
-#: Toxic texts, no two alike, that must hold a pair; share of texts a partner may be in.
+#: Toxic texts, copies counted once, that must hold a pair; share of texts a partner may be in.
 PAIR_SUPPORT, PAIR_SHARE = 8, 0.1
 
 #: Beginnings of words that are terms, by length; occurrences that make further terms.
@@ -116,11 +116,9 @@ def partners(rows: list[np.ndarray], y: np.ndarray, k: int, least_z: float = LEA
     """The words that, beside another word, are in toxic rows more often than beside it in clean ones.
 
     ``rows`` hold numbers below ``k``. A pair counts if each of its words is significant
-    among the rows that have the other, and ``support`` toxic rows, no two with the same
-    words, hold both. Each word is met with the rows it is in, so the work is that of the
+    among the rows that have the other, and ``support`` toxic rows hold both. Each word is met with the rows it is in, so the work is that of the
     words of one row after the other, and the memory that of one word's partners."""
-    first = {(bool(t), r.tobytes()): i for i, (r, t) in reversed(list(enumerate(zip(rows, y, strict=True))))}
-    rows, y = [rows[i] for i in sorted(first.values())], np.array([bool(y[i]) for i in sorted(first.values())], bool)
+    y = np.asarray(y, bool)
     sizes = np.array([len(r) for r in rows], np.int64)
     flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), sizes)
@@ -163,14 +161,15 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, m: int, row_weight: np.ndarray,
     share = (row_weight / row_weight.sum()).astype(np.float32)
     for step in range(1, steps + 1):
         b, w, v = params
-        own = v[cols]
-        xv = np.add.reduceat(own, starts)
-        z = b + np.add.reduceat(w[cols], starts) + 0.5 * ((xv**2).sum(1) - np.add.reduceat((own**2).sum(1), starts))
+        # sums over a row's features of vectors, weights and squares; then over a feature's rows
+        sums = np.add.reduceat(np.column_stack([v, w, (v**2).sum(1)])[cols], starts)
+        xv = sums[:, :factors]
+        z = b + sums[:, factors] + 0.5 * ((xv**2).sum(1) - sums[:, factors + 1])
         g = share * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+        back = np.add.reduceat(np.column_stack([g[:, None] * xv, g])[by_feature], firsts)
         grads = [g.sum(keepdims=True), decay * w, pair_decay * v]
-        xg = np.add.reduceat(g[by_feature], firsts)
-        grads[1][held] += xg
-        grads[2][held] += np.add.reduceat((g[:, None] * xv)[by_feature], firsts) - xg[:, None] * v[held]
+        grads[1][held] += back[:, factors]
+        grads[2][held] += back[:, :factors] - back[:, factors:] * v[held]
         grads[1][m], grads[2][m] = 0, 0
         for i, grad in enumerate(grads):
             mean[i] = 0.9 * mean[i] + 0.1 * grad
@@ -209,7 +208,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return nothing
     ids = [_sample(known.where(F.col("toxic") == c), sizes[c], rows_per_class) for c in (0, 1)]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = scratch(rows.join(F.broadcast(ids[0].unionAll(ids[1])), "id").select("text", "toxic"), "toxic-sample")
+    sample = scratch(rows.join(F.broadcast(ids[0].unionAll(ids[1])), "id").select("text", "toxic", F.xxhash64("text").alias("key")), "toxic-sample")
     got = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     ship_package(docs.sparkSession)
     n_pos, n_neg = got.get(1, 0), got.get(0, 0)
@@ -221,7 +220,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     p, q, both = F.col("pos") / n_pos, (F.col("n") - F.col("pos")) / n_neg, F.col("n") / (n_pos + n_neg)
     z = F.abs(p - q) / F.sqrt(F.greatest(both * (1 - both), F.lit(1e-12)) * (1 / n_pos + 1 / n_neg))
     telling = (z > least_z) & (F.col("n") >= 3)
-    may_pair = (F.col("word") == 1) & (F.col("pos") >= PAIR_SUPPORT) & (F.col("n") <= PAIR_SHARE * (n_pos + n_neg))
+    # Among n rows nothing differs by more than the root of n standard errors: fewer cannot pair.
+    may_pair = (F.col("word") == 1) & (F.col("pos") >= PAIR_SUPPORT) & F.col("n").between(LEAST_PAIR_Z**2, PAIR_SHARE * (n_pos + n_neg))
     chosen = counts.select("term", telling.alias("telling"), may_pair.alias("may_pair")).where("telling or may_pair").orderBy("term").toArrow()
     term, telling, may_pair = (chosen.column(c).to_numpy() for c in ("term", "telling", "may_pair"))
     if not len(term):
@@ -232,16 +232,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         find = Finder(shared.value)
         for batch in batches:
             found = [find(t or "") for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["present", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["present", "toxic", "key"])
 
-    table = sample.mapInArrow(present, "present array<int>, toxic int").toArrow()
+    table = sample.mapInArrow(present, "present array<int>, toxic int, key long").toArrow()
     discard(sample)
     y = table.column("toxic").to_numpy().astype(np.float32)
     lists = table.column("present").combine_chunks()
     flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
     found = [flat[a:b] for a, b in zip(ends[:-1] - ends[0], ends[1:] - ends[0], strict=True)]
     words_of = np.cumsum(may_pair) - 1
-    pairing = partners([words_of[r[may_pair[r]]] for r in found], y, int(may_pair.sum()))
+    _, unlike = np.unique(table.column("key").to_numpy(), return_index=True)  # a copied text is one witness
+    pairing = partners([words_of[found[i][may_pair[found[i]]]] for i in unlike], y[unlike], int(may_pair.sum()))
     telling = telling.copy()
     telling[np.flatnonzero(may_pair)[pairing]] = True
     if not telling.any():
