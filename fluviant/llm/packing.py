@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import json
 import math
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,8 +33,8 @@ from ..session import scratch, ship_package
 from ._common import resident
 from .byte_bpe import byte_alphabet, chunks
 
-#: Strings kept with their ids in each Python worker.
-CACHE_ENTRIES = 250_000
+#: Characters of a text that go to the merge engine at once.
+LONGEST = 1_000_000
 
 #: Items of one packing task, tasks merged into one.
 ITEMS_PER_TASK, FAN_IN = 50_000, 8
@@ -50,16 +52,18 @@ def _encoder(tokenizer_json: str, pattern: str):
 class Encoder:
     """Ids of whole texts as the tokenizer file gives them, as little-endian bytes.
 
-    Only white space can come before a space within a pre-token, so a text can be
-    cut in front of each space that no white space precedes and the ids of a part
-    be kept; a run of mixed white space stays in one part. Added tokens in a text
-    are found first, as the library does."""
+    A text goes to the merge engine in one piece, which is faster than keeping the ids of
+    words; one of more than ``longest`` characters goes in several. Only white space can
+    come before a space within a pre-token, so those are cut in front of spaces that no
+    white space precedes. Added tokens in a text are found first, as the library does."""
 
-    def __init__(self, tokenizer_json: str, pattern: str):
+    def __init__(self, tokenizer_json: str, pattern: str, longest: int = LONGEST):
         import re
 
         given = json.loads(tokenizer_json)
         model, before = given["model"], given["pre_tokenizer"]
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise ValueError("ids are kept as the machine has them, which must be little-endian 32-bit")
         if given["normalizer"] or model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or model.get("ignore_merges"):
             raise ValueError("only byte-level BPE without a normaliser is supported")
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in given["added_tokens"]):
@@ -67,35 +71,28 @@ class Encoder:
         self.added = {t["content"]: t["id"].to_bytes(4, "little") for t in given["added_tokens"]}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda t: [t]
         # Python's white space holds all that the pattern's does.
-        self.runs_on = re.compile(r"\s ").search
-        self.parts = re.compile(r"\s*+\S++(?:[^\S ]\s*+\S*+)*+|\s+").findall
+        self.cut = re.compile(r"(?<=\S) ").search
+        self.longest = longest
         self.encode_one = _encoder(tokenizer_json, pattern).encode_ordinary
-        self.cache: dict[str, bytes] = {}
-
-    def _parts(self, text: str) -> list[str]:
-        if self.runs_on(text):
-            return self.parts(text)
-        # No white space in front of a space: a plain split, the space given back to the next part.
-        first, *rest = text.split(" ")
-        out = [first] if first else []
-        out += [" " + p for p in rest]
+
+    def pieces(self, text: str) -> list[str]:
+        out, at = [], 0
+        while len(text) - at > self.longest and (found := self.cut(text, at + self.longest)):
+            out.append(text[at : found.start()])
+            at = found.start()
+        out.append(text[at:])
         return out
 
+    def _segment(self, text: str) -> bytes:
+        return b"".join(array("I", self.encode_one(p)).tobytes() for p in self.pieces(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache, out = self.cache, []
+        out = []
         for text in texts:
-            found = []
-            for segment in self.split_added(text) if any(a in text for a in self.added) else (text,):
-                if segment in self.added:
-                    found.append(self.added[segment])
-                    continue
-                for p in (parts := self._parts(segment)):
-                    if p not in cache:
-                        cache[p] = np.asarray(self.encode_one(p), "<u4").tobytes()
-                found += map(cache.__getitem__, parts)
-            out.append(b"".join(found))
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
+            if any(a in text for a in self.added):
+                out.append(b"".join(self.added[s] if s in self.added else self._segment(s) for s in self.split_added(text)))
+            else:
+                out.append(self._segment(text))
         return out
 
 

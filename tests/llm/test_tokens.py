@@ -138,14 +138,17 @@ def test_packing_is_whole_tight_and_gapless(spark):
     assert len(bins) <= 1.05 * sum(s for _, s, _ in expected.values()) / 64 + 2
 
 
-def test_parts_keep_mixed_white_space_whole():
-    encoder = packing.Encoder(open(JSON, encoding="utf-8").read(), PATTERN)
+def test_long_texts_are_cut_where_no_pre_token_goes_on():
+    """Cuts after every few characters, in mixed white space and prose."""
+    encoders = [packing.Encoder(open(JSON, encoding="utf-8").read(), PATTERN, longest) for longest in (1, 4, 10**6)]
     tokenizer, rng = Tokenizer.from_file(JSON), np.random.default_rng(3)
     white = ["a \u00a0 \u00a0 b", " \u00a0 \u00a0", "\u00a0 \u00a0 \u00a0 x", "a\n  b\t c \x1c d  ", "  ", "x \u3000 \u2028  \x85 y"]
     white += ["".join(rng.choice([" ", "\u00a0", "\n", "\t", "\x1c", "\u3000", "a", "7", "'s"], 30, p=[0.3, 0.2, 0.1, 0.05, 0.05, 0.05, 0.15, 0.05, 0.05])) for _ in range(3000)]
-    for t in white:
-        assert "".join(encoder._parts(t)) == t
-        assert np.frombuffer(encoder.encode([t])[0], "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    for t in [*white, *TEXTS[1:]]:
+        ids = pack_ids(tokenizer.encode(t, add_special_tokens=False).ids)
+        for encoder in encoders:
+            assert "".join(encoder.pieces(t)) == t and encoder.encode([t]) == [ids], repr(t)
+    assert len(encoders[1].pieces("word " * 100)) > 50
 
 
 def test_piece_lengths():
