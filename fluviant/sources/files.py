@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,13 @@ from .xlsx import read_sheet
 
 
 def read_geoparquet(spark: SparkSession, *paths: str, geometry_col: str = "geometry") -> DataFrame:
-    """GeoParquet files with their geometry as arrays of points."""
+    """GeoParquet files with their geometry as arrays of points.
+
+    Folders are read one by one, so that each may be partitioned on its own; a column
+    that one of them lacks is null there."""
     ship_package(spark)
-    return spark.read.parquet(*paths).withColumn(geometry_col, from_wkb(geometry_col))
+    tables = [spark.read.parquet(p) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables).withColumn(geometry_col, from_wkb(geometry_col))
 
 
 #: Files that get their footer at the same time.

@@ -3,6 +3,7 @@
 import json
 import sqlite3
 import struct
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -294,7 +295,7 @@ def test_single_csv_is_a_file(spark, tmp_path):
     assert path.is_file() and path.read_text() == ""
 
 
-def test_tables_are_released_and_clusters_need_a_shared_folder(spark, monkeypatch):
+def test_tables_are_released_and_clusters_need_a_shared_folder(spark):
     from fluviant import session
 
     before = session.written_tables(spark)
@@ -305,11 +306,11 @@ def test_tables_are_released_and_clusters_need_a_shared_folder(spark, monkeypatc
         a.count()
     session.discard(b)
     assert session.written_tables(spark) == before
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host"))
     assert session.shared_folder(spark)  # named by the session
-    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    undefined = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="spark://host", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: undefined)))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(spark)
+        session.shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context))
 
 
 def test_weight_file_order(spark, tmp_path):
