@@ -31,7 +31,7 @@ ROWS_PER_CLASS, FACTORS = 6_000, 8
 
 #: Standard errors by which a term's document frequencies must differ; and those of a
 #: word among the texts with its partner, where far more pairs are tested.
-LEAST_Z, LEAST_PAIR_Z = 4.0, 9.0
+LEAST_Z, LEAST_PAIR_Z = 5.0, 9.0
 
 #: Toxic texts, copies counted once, that must hold a pair; share of texts a partner may be in.
 PAIR_SUPPORT, PAIR_SHARE = 8, 0.1
@@ -143,7 +143,8 @@ def partners(rows: list[np.ndarray], y: np.ndarray, k: int, least_z: float = LEA
 
 
 def _fit(rows: list[np.ndarray], y: np.ndarray, m: int, row_weight: np.ndarray, factors: int, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, pair_decay: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray]:
-    """Weights of the machine by Adam on the weighted log loss, over all rows at once.
+    """Weights of the machine by Adam on the weighted log loss, over all rows at once. The
+    rate falls to nothing, so that the last steps settle instead of leaping.
 
     ``rows`` hold the numbers (below ``m``) of the features that occur. Sums over rows and
     over features are taken on their lists, so memory grows with what occurs, not with rows
@@ -174,7 +175,7 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, m: int, row_weight: np.ndarray,
         for i, grad in enumerate(grads):
             mean[i] = 0.9 * mean[i] + 0.1 * grad
             var[i] = 0.99 * var[i] + 0.01 * grad**2
-            params[i] = (params[i] - rate * (mean[i] / (1 - 0.9**step)) / (np.sqrt(var[i] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            params[i] = (params[i] - rate * (1 - (step - 1) / steps) * (mean[i] / (1 - 0.9**step)) / (np.sqrt(var[i] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return float(params[0][0]), params[1][:m], params[2][:m]
 
 
